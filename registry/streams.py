@@ -1 +1,93 @@
-"""Streams."""
+"""Streams over the table files, drained to the end and compared with the batch SQL."""
+
+import uuid
+
+
+from mediacat.session import shared_folder
+from mediacat.sources import catalog as C
+from mediacat.streaming import jobs
+
+from . import inputs, query
+from .inputs import Inputs
+from .parameters import FEW_LANGUAGES, LANGUAGES, NOW, START
+
+KEY = ["author", "permlink"]
+
+
+def folder(spark) -> str:
+    """A new folder for the checkpoint and output of one run."""
+    return f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+
+
+def stream(t: Inputs, name: str):
+    """A table's files as a stream, with the schema its batch form has. The pattern takes
+    one file as well as a folder of files."""
+    return jobs.read_stream(t.spark, f"{t.sf_dir}/{name}*.parquet", t.table(name).schema)
+
+
+def event_stream(t: Inputs):
+    return inputs.items(stream(t, "events"))
+
+
+@query("""select author, permlink, video_type, status, created_at from with_cids where has_cid and
+  ((video_type='legacy' and ((status='published' and created_at >= timestamp'1999-01-01')
+     or (status='scheduled' and publish_data > timestamp'2000-01-01')))
+   or (video_type<>'legacy' and status='published' and created_at >= timestamp'1999-01-01'))""")
+def stream_ingest(spark, sf_dir):
+    t = Inputs(spark, sf_dir)
+    rows = jobs.ingest_catalogs(
+        inputs.legacy_rows(stream(t, "orders")), inputs.embed_rows(stream(t, "documents")),
+        inputs.audio_rows(stream(t, "pages")), NOW, folder(spark), START,
+    )
+    return rows.select(*KEY, "video_type", "status", "created_at")
+
+
+@query("""select owner author, permlink, manifest_cid, createdAt created_at from catalog_embed e where manifest_cid<>'' and status='published'
+  and (owner, permlink) not in (select (author, permlink) from state where "language" in ('en','es','fr') group by author, permlink
+    having count(distinct "language")=3)""")
+def stream_open_work(spark, sf_dir):
+    """Rows of any date that lack a language, chosen in each micro-batch by an anti join."""
+    t = Inputs(spark, sf_dir)
+    rows = C.embed_published(inputs.embed_rows(stream(t, "documents"))).selectExpr(
+        "owner author", "permlink", "manifest_cid", "createdAt created_at"
+    )
+    return jobs.open_work(rows, t.state, FEW_LANGUAGES, folder(spark))
+
+
+@query("""select author, permlink, "language", subtitle_cid, updated_at, created_at from state""")
+def stream_upsert(spark, sf_dir):
+    t = Inputs(spark, sf_dir)
+    state = jobs.upsert_subtitles(inputs.subtitle_log_rows(event_stream(t)), folder(spark))
+    return state.select(*KEY, "language", "subtitle_cid", "updated_at", "created_at")
+
+
+@query("""select distinct author, permlink from queue_log where (author, permlink) in (select (author, permlink) from catalogs)""")
+def stream_dedup_enqueue(spark, sf_dir):
+    t = Inputs(spark, sf_dir)
+    return jobs.dedup_queue(inputs.queue_log_rows(event_stream(t)), t.catalogs, folder(spark))
+
+
+@query("""select author, permlink, count(distinct "language") n_done, count(distinct "language")=5 is_complete from state group by all""")
+def stream_completion(spark, sf_dir):
+    t = Inputs(spark, sf_dir)
+    return jobs.completion(inputs.subtitle_log_rows(event_stream(t)), LANGUAGES, folder(spark))
+
+
+@query("""select author, permlink, 0 bucket, requested_at, null::int prio_rank, null::int type_rank, null::int status_rank from queue
+    where (author, permlink) in (select (author, permlink) from catalogs)
+  union all select author, permlink, 1, null, case when author in (select author from creators) then 0 else 1 end,
+    case video_type when 'embed' then 0 when 'legacy' then 1 else 2 end, case when status='published' then 0 else 1 end
+  from candidates where (author, permlink) not in (select (author, permlink) from queue)""")
+def stream_priority(spark, sf_dir):
+    t = Inputs(spark, sf_dir)
+    candidates = C.all_videos(t.legacy, t.embed, t.audio, NOW)
+    rows = jobs.prioritised_work(
+        inputs.queue_log_rows(event_stream(t)), candidates, t.catalogs, t.creators, folder(spark)
+    )
+    return rows.select(*KEY, "bucket", "requested_at", "prio_rank", "type_rank", "status_rank")
+
+
+@query('select "language", count(*) n from state group by all')
+def stream_stats(spark, sf_dir):
+    t = Inputs(spark, sf_dir)
+    return jobs.live_counts(inputs.subtitle_log_rows(event_stream(t)), folder(spark))
