@@ -22,7 +22,7 @@ def _two(n: Column) -> Column:
 
 def millis_to_timecode(ms: Column) -> Column:
     def div(c: Column, n: int) -> Column:
-        return F.floor(c / n)
+        return F.call_function("div", c, F.lit(n))
 
     secs = div(ms, 1000)
     return F.concat(
@@ -48,4 +48,4 @@ def timecode_to_millis(timecode: Column) -> Column:
 
 def timecode_to_seconds(timecode: Column) -> Column:
     ms = timecode_to_millis(timecode)
-    return F.floor(ms / 1000).cast("double") + (ms % 1000).cast("double") / 1000.0
+    return F.call_function("div", ms, F.lit(1000)).cast("double") + (ms % 1000).cast("double") / 1000.0

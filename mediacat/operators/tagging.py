@@ -1,7 +1,7 @@
 """Topic tags: classification text, scores, choice.
 
 ``score`` is supplied by the user: ``(texts, labels) -> list of score lists``. The
-built-in :func:`seed_share` scorer is a stand-in for checks, not a model.
+built-in :func:`with_seed_scores` is a stand-in for checks, not a model.
 """
 
 from __future__ import annotations
@@ -46,17 +46,26 @@ def classification_text(rows: DataFrame, sampled: bool = True) -> DataFrame:
     return rows.withColumn("tag_text", text)
 
 
-def seed_share(text: Column, tags: Sequence[Tag]) -> Column:
-    """Stand-in scores: share of the text's tokens that equal a tag's seed word."""
-    tokens = F.filter(F.split(text, r"\s+"), lambda t: t != "")
-    size = F.greatest(F.size(tokens), F.lit(1))
+def with_seed_scores(rows: DataFrame, tags: Sequence[Tag], text: str = "tag_text") -> DataFrame:
+    """Add stand-in ``scores``: share of the text's tokens that equal a tag's seed word.
+
+    The tokens are a column of their own, so a text is cut once and not once per tag.
+    """
+    tokens = F.array_remove(F.split(F.col(text), r"\s+"), "")
+    size = F.size("_tokens")
 
     def share(seed: str) -> Column:
-        return F.size(F.filter(tokens, lambda t: t == F.lit(seed))).cast("double") / size
+        found = size - F.size(F.array_remove(F.col("_tokens"), seed))
+        return found.cast("double") / F.greatest(size, F.lit(1))
 
-    return F.array(*[
+    scores = F.array(*[
         F.struct(F.lit(tag.label).alias("label"), share(tag.seed).alias("score")) for tag in tags
     ])
+    return (
+        rows.withColumn("_tokens", tokens)
+        .withColumn("scores", F.when(F.col(text).isNotNull(), scores))
+        .drop("_tokens")
+    )
 
 
 def scored_by_hook(rows: DataFrame, score: Score, labels: Sequence[str], text: str = "tag_text") -> DataFrame:

@@ -53,24 +53,25 @@ def split_segments(raw_segments: DataFrame, max_words: int = MAX_WORDS) -> DataF
     first word of its cues, and neighbouring first words give the slices. Segments of
     at most ``max_words`` words stay whole; blank pieces of a cut segment are dropped.
     """
-    n = F.coalesce(F.size("words"), F.lit(0))
-
     def ends_sentence(i: Column) -> Column:
-        return strip(F.element_at(F.col("words"), i)["word"]).rlike(SENTENCE_END)
+        return strip(F.element_at(F.col("_word"), i)).rlike(SENTENCE_END)
 
     def following(starts: str) -> Column:
         """Each start's successor; the last one is followed by the end of the segment."""
         return F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(F.col("_n") + 1))
 
     def piece(first: Column, after: Column) -> Column:
-        words = F.slice("words", first, after - first)
         return F.struct(
-            F.element_at(F.col("words"), first)["start_s"].alias("start_s"),
-            F.element_at(F.col("words"), after - 1)["end_s"].alias("end_s"),
-            strip(F.array_join(F.transform(words, lambda w: w["word"]), "")).alias("text"),
+            F.element_at(F.col("_from"), first).alias("start_s"),
+            F.element_at(F.col("_to"), after - 1).alias("end_s"),
+            strip(F.array_join(F.slice("_word", first, after - first), "")).alias("text"),
         )
 
-    whole = raw_segments.withColumn("_n", n).withColumn("_long", F.col("_n") > max_words)
+    whole = raw_segments.select(
+        *KEY, "raw_seg", "start_s", "end_s", "text", F.col("words.word").alias("_word"),
+        F.col("words.start_s").alias("_from"), F.col("words.end_s").alias("_to"),
+        F.coalesce(F.size("words"), F.lit(0)).alias("_n"),
+    ).withColumn("_long", F.col("_n") > max_words)
     inner_ends = F.filter(F.sequence(F.lit(1), F.col("_n") - 1), ends_sentence)
     sentences = F.concat(F.array(F.lit(1)), F.transform(inner_ends, lambda i: i + 1))
     first_words = F.flatten(

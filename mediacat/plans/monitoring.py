@@ -13,7 +13,6 @@ from ..functions.fixed_values import (
 from ..operators.ordered import position
 from ..operators.selection import flag_creators, type_flags
 from ..sinks.lists import queue_flags
-from ..sinks.subtitles import headers, language_lists
 from ..sources.catalog import KEY, catalog_rank
 
 # Pages that end within this many rows use a top-k; deeper ones use row positions.
@@ -112,17 +111,10 @@ def display_date():
     return F.coalesce("updated_at", "created_at")
 
 
-def _with_languages(videos: DataFrame, state: DataFrame) -> DataFrame:
-    """Language lists for a page of videos: only their rows are gathered."""
-    page = F.broadcast(videos.select(*KEY))  # bounded: one page or feed section
-    mine = language_lists(state.join(page, KEY, "left_semi"))
-    return videos.join(mine, KEY, "left").withColumn("languages", F.array_join("languages", ","))
-
-
-def recent_completed(state: DataFrame, limit: int = FEED_COMPLETED) -> DataFrame:
-    newest = headers(state).orderBy(F.desc("updated_at"), *KEY).limit(limit)
-    named = _with_languages(newest, state).withColumn("display_date", display_date())
-    return _feed_row(named, F.lit("complete"), F.col("languages"), F.col("lang_count"), "display_date")
+def recent_completed(videos: DataFrame, limit: int = FEED_COMPLETED) -> DataFrame:
+    newest = videos.orderBy(F.desc("updated_at"), *KEY).limit(limit)
+    shown = newest.withColumn("display_date", display_date())
+    return _feed_row(shown, F.lit("complete"), F.array_join("languages", ","), F.col("lang_count"), "display_date")
 
 
 def recent_candidates(available: DataFrame, per_type: int = RECENT_PER_TYPE) -> DataFrame:
@@ -142,14 +134,14 @@ def _seen(candidates: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def recent_pending(
-    available: DataFrame, state: DataFrame, queue: DataFrame, current: DataFrame,
+    available: DataFrame, videos: DataFrame, queue: DataFrame, current: DataFrame,
     creators: DataFrame, limit: int = FEED_PENDING,
 ) -> DataFrame:
     """Newest candidates that are not processed, queued or in work. The candidates are
     limited before the exclusions and again after them; that order is part of the meaning."""
     candidates = recent_candidates(available)
     left = candidates
-    for taken in (state, queue, current):
+    for taken in (videos, queue, current):
         left = left.join(_seen(candidates, taken), KEY, "left_anti")
     flagged = flag_creators(left, creators).select(*KEY, "video_type", "created_at", "is_priority", *type_flags())
     kept = flagged.orderBy(F.desc_nulls_last("created_at"), catalog_rank(), *KEY).limit(limit)
@@ -158,15 +150,15 @@ def recent_pending(
 
 
 def activity_feed(
-    available: DataFrame, catalogs: DataFrame, state: DataFrame, queue: DataFrame,
+    available: DataFrame, catalogs: DataFrame, videos: DataFrame, queue: DataFrame,
     current: DataFrame, creators: DataFrame,
 ) -> DataFrame:
     """Item in work, queue, newest finished and newest pending, with a section number."""
     sections = [
         _without_languages(current, F.lit("processing"), "started_at"),
         _without_languages(queue_flags(queue, catalogs), F.lit("prioritized"), "requested_at"),
-        recent_completed(state),
-        recent_pending(available, state, queue, current, creators),
+        recent_completed(videos),
+        recent_pending(available, videos, queue, current, creators),
     ]
     numbered = [s.withColumn("section", F.lit(i)) for i, s in enumerate(sections, start=1)]
     feed = numbered[0]
@@ -184,7 +176,7 @@ def feed_complete(feed: DataFrame) -> DataFrame:
 
 
 def processed_page(
-    state: DataFrame, page: int = 1, per_page: int = 50, shallow: int = SHALLOW_ROWS
+    videos: DataFrame, page: int = 1, per_page: int = 50, shallow: int = SHALLOW_ROWS
 ) -> DataFrame:
     """One page of processed videos, newest first, and whether there is a next page.
 
@@ -193,7 +185,6 @@ def processed_page(
     """
     size = min(int(per_page), PAGE_MAX)
     skip = (page - 1) * size
-    videos = headers(state)
     order = [F.desc("updated_at"), F.col("author"), F.col("permlink")]
     if skip + size < shallow:
         rows = videos.orderBy(*order).offset(skip).limit(size + 1)
@@ -206,8 +197,8 @@ def processed_page(
         .withColumn("has_more", F.max("_n").over(W.partitionBy()) > size)
         .where(F.col("_n") <= size).drop("_n")
     )
-    return _with_languages(rows, state).select(
-        F.lit(page).alias("page"), *KEY, "is_embed", "is_audio", "languages",
+    return rows.select(
+        F.lit(page).alias("page"), *KEY, "is_embed", "is_audio", F.array_join("languages", ",").alias("languages"),
         iso(F.col("created_at")).alias("created_at"), iso(F.col("updated_at")).alias("updated_at"),
         iso(F.col("video_created_at")).alias("video_created_at"),
         iso(display_date()).alias("display_date"), "has_more",

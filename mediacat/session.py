@@ -18,7 +18,8 @@ DEFAULTS = {
 def build(master: str, partitions: int, name: str = "mediacat", **conf: str) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(name)
     builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
-    for key, value in {**DEFAULTS, "spark.ui.enabled": "false", **conf}.items():
+    quiet = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+    for key, value in {**DEFAULTS, **quiet, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

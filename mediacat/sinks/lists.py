@@ -34,6 +34,19 @@ def delete_by_id(rows: DataFrame, ids: DataFrame, id_column: str = "item_id") ->
     return rows.join(ids.select(id_column).distinct(), id_column, "left_anti")
 
 
+def deletion_report(rows: DataFrame, ids: DataFrame, id_column: str = "item_id") -> DataFrame:
+    """Each requested id and whether the list held it."""
+    held = rows.select(id_column).distinct().withColumn("_held", F.lit(True))
+    return (
+        ids.select(id_column).distinct().join(held, id_column, "left")
+        .select(id_column, F.coalesce("_held", F.lit(False)).alias("deleted"))
+    )
+
+
+def oldest_first(rows: DataFrame, keys: Sequence[str], at: str = "requested_at") -> DataFrame:
+    return rows.orderBy(F.asc(at), *keys)
+
+
 def newest_first(rows: DataFrame, keys: Sequence[str], at: str = "added_at") -> DataFrame:
     return rows.orderBy(F.desc(at), *keys)
 

@@ -50,7 +50,11 @@ def fold(rows: DataFrame) -> DataFrame:
 
 
 def headers(state: DataFrame) -> DataFrame:
-    """One row per video from folded rows."""
+    """One row per video from folded rows.
+
+    ``languages`` lists the codes in the order they first appeared. A folded video has one
+    row per language, so the list is short; it costs nothing where it is not used.
+    """
     newest = F.struct("updated_at", "updated_seq")
     oldest = F.struct("created_at", "created_seq")
     return (
@@ -61,6 +65,7 @@ def headers(state: DataFrame) -> DataFrame:
             F.min_by(F.struct("video_type", "video_created_at"), oldest).alias("_f"),
             F.min("created_at").alias("created_at"),
             F.count("language").alias("lang_count"),
+            F.array_sort(F.collect_list(F.struct("created_at", "created_seq", "language"))).alias("_e"),
         )
         .select(
             *KEY, "video_cid",
@@ -68,18 +73,11 @@ def headers(state: DataFrame) -> DataFrame:
             (F.col("_f.video_type") == AUDIO).alias("is_audio"),
             "created_at", "updated_at",
             F.col("_f.video_created_at").alias("video_created_at"), "lang_count",
+            F.transform("_e", lambda e: e["language"]).alias("languages"),
         )
     )
 
 
-def language_lists(state: DataFrame) -> DataFrame:
-    """Languages of each video in the order they first appeared (one entry per language)."""
-    entry = F.struct("created_at", "created_seq", "language")
-    return state.groupBy(*KEY).agg(F.array_sort(F.collect_list(entry)).alias("_e")).select(
-        *KEY, F.transform("_e", lambda e: e["language"]).alias("languages")
-    )
-
-
 def as_map(state: DataFrame) -> DataFrame:
     """The ``language -> subtitle id`` map of each video."""
     return state.groupBy(*KEY).agg(

@@ -160,18 +160,20 @@ def prioritised_work(
 
 
 def live_counts(
-    log: DataFrame, base: str, refresh_seconds: int | None = None
+    log: DataFrame, unit: Sequence[str], by: Sequence[str], base: str, refresh_seconds: int | None = None
 ) -> DataFrame | StreamingQuery:
-    """Subtitle files per language, kept current.
+    """Number of distinct units per group, kept current as saves arrive.
 
-    A (video, language) counts once, however often it is saved. With ``refresh_seconds``
-    the job keeps running and renews its output at that rate; otherwise it drains and
-    stops. The result has one row per language and is rewritten whole.
+    Units (video, language) by language give subtitle files per language; units (video) by
+    type give processed videos per type. A unit counts once, with the group of its first
+    save. With ``refresh_seconds`` the job keeps running at that rate; otherwise it
+    drains and stops. Each batch adds its own small counts.
     """
-    first = log.select(*KEY, "language").dropDuplicates([*KEY, "language"])
+    fields = [*unit, *[c for c in by if c not in unit]]
+    first = log.select(*fields).dropDuplicates(list(unit))
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        _keep(f"{base}/parts")(batch.groupBy("language").agg(F.count("*").alias("n")), batch_id)
+        _keep(f"{base}/parts")(batch.groupBy(*by).agg(F.count("*").alias("n")), batch_id)
 
     writer = (
         first.writeStream.outputMode("append").option("checkpointLocation", f"{base}/checkpoint")
@@ -180,8 +182,8 @@ def live_counts(
     if refresh_seconds is not None:
         return writer.trigger(processingTime=f"{refresh_seconds} seconds").start()
     writer.trigger(availableNow=True).start().awaitTermination()
-    return read_live_counts(log.sparkSession, base)
+    return read_live_counts(log.sparkSession, base, by)
 
 
-def read_live_counts(spark: SparkSession, base: str) -> DataFrame:
-    return _kept(spark, f"{base}/parts").groupBy("language").agg(F.sum("n").alias("n"))
+def read_live_counts(spark: SparkSession, base: str, by: Sequence[str]) -> DataFrame:
+    return _kept(spark, f"{base}/parts").groupBy(*by).agg(F.sum("n").alias("n"))

@@ -52,10 +52,8 @@ def videos_fully_done(spark, sf_dir):
 
 @query("""select author, permlink, languages from lang_lists""")
 def existing_languages(spark, sf_dir):
-    from mediacat.sinks.subtitles import language_lists
-
-    lists = language_lists(Inputs(spark, sf_dir).state)
-    return lists.withColumn("languages", F.array_join("languages", ","))
+    videos = Inputs(spark, sf_dir).videos
+    return videos.select(*KEY, F.array_join("languages", ",").alias("languages"))
 
 
 @query(f"""select d.author, d.permlink, ord, code "language" from durations d join languages on {ELIGIBLE}

@@ -58,7 +58,7 @@ def available(t: Inputs):
 
 
 def feed(t: Inputs):
-    return M.activity_feed(available(t), t.catalogs, t.state, t.queue, current_status(t.status_log), t.creators)
+    return M.activity_feed(available(t), t.catalogs, t.videos, t.queue, current_status(t.status_log), t.creators)
 
 
 @query(f"select * from {STATS}")
@@ -106,13 +106,13 @@ def processed_since(spark, sf_dir):
 
 @query(f"select * from {COMPLETED}")
 def recent_completed(spark, sf_dir):
-    return M.recent_completed(Inputs(spark, sf_dir).state)
+    return M.recent_completed(Inputs(spark, sf_dir).videos)
 
 
 @query(f"select * from {PENDING}")
 def recent_pending(spark, sf_dir):
     t = Inputs(spark, sf_dir)
-    return M.recent_pending(available(t), t.state, t.queue, current_status(t.status_log), t.creators)
+    return M.recent_pending(available(t), t.videos, t.queue, current_status(t.status_log), t.creators)
 
 
 @query(f"select author, permlink, video_type, created_at from {RECENT}")
@@ -137,13 +137,13 @@ def feed_complete(spark, sf_dir):
 
 @query(page_sql(2, 50))
 def processed_page(spark, sf_dir):
-    return M.processed_page(Inputs(spark, sf_dir).state, page=2, per_page=50)
+    return M.processed_page(Inputs(spark, sf_dir).videos, page=2, per_page=50)
 
 
 @query(page_sql(3, 100))
 def processed_page_deep(spark, sf_dir):
     """The path of deep pages: cut by row positions. Page size is held at its maximum."""
-    return M.processed_page(Inputs(spark, sf_dir).state, page=3, per_page=500, shallow=0)
+    return M.processed_page(Inputs(spark, sf_dir).videos, page=3, per_page=500, shallow=0)
 
 
 @query("""select count(*) total, count_if(outcome='success') successful, count_if(outcome='failed') failed from run_log where source='batch'""")

@@ -17,7 +17,7 @@ def subtitle_upsert(spark, sf_dir):
 
 @query("select * from videos")
 def subtitle_headers(spark, sf_dir):
-    return Inputs(spark, sf_dir).videos
+    return Inputs(spark, sf_dir).videos.drop("languages")
 
 
 @query("""select author, permlink, string_agg("language"||'='||subtitle_cid, ';' order by "language") subtitles from state group by all""")
@@ -104,6 +104,22 @@ def list_delete(spark, sf_dir):
     return lists.delete_by_id(rows, good.select(lists.item_id(KEY).alias("item_id")))
 
 
+@query("""select item_id, item_id in (select sha256(author||chr(31)||permlink) from blacklist) deleted from
+  (select sha256('user'||(doc_id%50)||chr(31)||'d'||doc_id) item_id from labels where quality=1)""")
+def list_delete_report(spark, sf_dir):
+    t = Inputs(spark, sf_dir)
+    asked = t.table("labels").where("quality = 1").selectExpr(
+        "concat('user', doc_id % 50) author", "concat('d', doc_id) permlink"
+    )
+    ids = asked.select(lists.item_id(KEY).alias("item_id"))
+    return lists.deletion_report(t.blacklist.select(lists.item_id(KEY).alias("item_id")), ids)
+
+
+@query("select author, permlink, requested_at from queue")
+def queue_list(spark, sf_dir):
+    return lists.oldest_first(Inputs(spark, sf_dir).queue, KEY, "requested_at")
+
+
 @query("select author, permlink, added_at from blacklist order by added_at desc, author, permlink")
 def list_recent(spark, sf_dir):
     return lists.newest_first(Inputs(spark, sf_dir).blacklist, KEY)

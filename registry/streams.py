@@ -89,5 +89,11 @@ def stream_priority(spark, sf_dir):
 
 @query('select "language", count(*) n from state group by all')
 def stream_stats(spark, sf_dir):
-    t = Inputs(spark, sf_dir)
-    return jobs.live_counts(inputs.subtitle_log_rows(event_stream(t)), folder(spark))
+    log = inputs.subtitle_log_rows(event_stream(Inputs(spark, sf_dir)))
+    return jobs.live_counts(log, [*KEY, "language"], ["language"], folder(spark))
+
+
+@query("""select case when is_audio then 'audio' when is_embed then 'embed' else 'legacy' end video_type, count(*) n from videos group by all""")
+def stream_video_counts(spark, sf_dir):
+    log = inputs.subtitle_log_rows(event_stream(Inputs(spark, sf_dir)))
+    return jobs.live_counts(log, KEY, ["video_type"], folder(spark))

@@ -38,8 +38,7 @@ def tag_texts(t: Inputs):
 
 
 def scored(t: Inputs):
-    text = F.col("tag_text")
-    return tag_texts(t).withColumn("scores", F.when(text.isNotNull(), tagging.seed_share(text, TAGS)))
+    return tagging.with_seed_scores(tag_texts(t), TAGS)
 
 
 def tagged(t: Inputs):
@@ -53,8 +52,8 @@ def tag_input_text(spark, sf_dir):
 
 @query(f"select doc_id, label, score from {SCORES.format(text='text', rows='documents')}")
 def tag_scores(spark, sf_dir):
-    rows = Inputs(spark, sf_dir).documents.select("doc_id", tagging.seed_share(F.col("text"), TAGS).alias("s"))
-    return rows.select("doc_id", F.explode("s").alias("s")).select("doc_id", "s.label", "s.score")
+    rows = tagging.with_seed_scores(Inputs(spark, sf_dir).documents.select("doc_id", "text"), TAGS, "text")
+    return rows.select("doc_id", F.explode_outer("scores").alias("s")).select("doc_id", "s.label", "s.score")
 
 
 @query(f"""select doc_id, max(score) filter (label='food') food, max(score) filter (label='travel') travel, max(score) filter (label='vlog') vlog,
@@ -62,11 +61,9 @@ def tag_scores(spark, sf_dir):
   from {SCORES.format(text='text', rows="(select doc_id, substring(text,1,3000) text from documents)")} group by doc_id""")
 def tag_score_map(spark, sf_dir):
     """All scores of a transcript as one map (shown as columns)."""
-    start = F.substring("text", 1, SCORE_MAP_CHARS)
-    rows = Inputs(spark, sf_dir).documents.select(
-        "doc_id", tagging.score_map(tagging.seed_share(start, TAGS)).alias("m")
-    )
-    return rows.select("doc_id", *[F.try_element_at("m", F.lit(tag.label)).alias(tag.label) for tag in TAGS])
+    start = F.substring("text", 1, SCORE_MAP_CHARS).alias("start")
+    rows = tagging.with_seed_scores(Inputs(spark, sf_dir).documents.select("doc_id", start), TAGS, "start")
+    return rows.select("doc_id", tagging.score_map("scores").alias("m")).select("doc_id", *[F.try_element_at("m", F.lit(tag.label)).alias(tag.label) for tag in TAGS])
 
 
 @query(f"""select author, permlink, case when no_text then 'no_text' else 'scored' end reason,

@@ -146,3 +146,18 @@ def test_config_lists(spark):
 def test_spread_leaves_large_scans_alone(spark):
     assert tables.spread(spark.range(100, numPartitions=9), "id").rdd.getNumPartitions() == 9
     assert tables.spread(spark.range(100, numPartitions=1), "id").rdd.getNumPartitions() == 4
+
+
+def test_config(spark):
+    from mediacat.sources import config
+
+    read = config.from_mapping({
+        "languages": [{"code": "en", "name": "English"}, {"code": "fr", "max_duration": 5}],
+        "tags": ["food", "art"], "ipfs": {"gateways": ["https://g/"]}, "tagging": {"max_tags": 3},
+    })
+    assert (read.max_tags, read.min_confidence, read.max_words) == (3, 0.3, 8)
+    assert [tuple(r) for r in config.languages_table(spark, config.Config(languages=[
+        tables.Language(0, "en"), tables.Language(1, "fr", 5.0)])).collect()] == [(0, "en", None), (1, "fr", 5.0)]
+    assert [x.code for x in read.languages] == ["en", "fr"] and read.languages[1].max_duration == 5
+    assert config.tags_table(spark, read).count() == 2
+    assert tuple(config.gateways_table(spark, read).first()) == (0, "https://g/")

@@ -1,6 +1,6 @@
 from mediacat import schemas
 from mediacat.plans import monitoring as M
-from mediacat.sinks.subtitles import as_state, fold
+from mediacat.sinks.subtitles import as_state, fold, headers
 
 VIDEOS = "author string, permlink string, is_embed boolean, is_audio boolean, lang_count bigint"
 AVAILABLE = "author string, permlink string, video_type string, created_at timestamp_ntz"
@@ -22,13 +22,13 @@ def test_backlog_is_clamped_and_null_safe(spark, at):
     assert '"start_date":"all"' in M.stats_json(M.stats_summary(available, videos, tags), "now", "").first().stats
 
 
-def state(spark, at, n):
+def videos(spark, at, n):
     rows = [("u", f"p{i:03d}", "embed", lang, "c", "s", None, at(i), 2 * i + j) for i in range(n) for j, lang in enumerate(("fr", "en"))]
-    return fold(as_state(spark.createDataFrame(rows, schemas.SUBTITLE_LOG)))
+    return headers(fold(as_state(spark.createDataFrame(rows, schemas.SUBTITLE_LOG))))
 
 
 def test_pages(spark, at):
-    saved = state(spark, at, 45)
+    saved = videos(spark, at, 45)
     order = [f"p{i:03d}" for i in reversed(range(45))]
     for page, size, want, more in ((1, 20, order[:20], True), (3, 20, order[40:], False), (3, 15, order[30:], False), (9, 20, [], None)):
         for shallow in (M.SHALLOW_ROWS, 0):
@@ -36,7 +36,7 @@ def test_pages(spark, at):
             assert [r.permlink for r in rows] == want
             assert {r.has_more for r in rows} == ({more} if want else set())
             assert {r.languages for r in rows} <= {"fr,en"}
-    assert M.processed_page(state(spark, at, 130), 1, 500).count() == 100
+    assert M.processed_page(videos(spark, at, 130), 1, 500).count() == 100
 
 
 def test_feed_limits_before_and_after_exclusion(spark, at):
@@ -48,7 +48,7 @@ def test_feed_limits_before_and_after_exclusion(spark, at):
     creators = spark.createDataFrame([("u",)], "author string")
     current = spark.createDataFrame([("u", "embed29", True, False, at(50))], "author string, permlink string, is_embed boolean, is_audio boolean, started_at timestamp_ntz")
     rows = [("u", f"legacy{i}", "legacy", "en", "c", "s", None, at(i), i) for i in range(10, 30)]
-    saved = fold(as_state(spark.createDataFrame(rows, schemas.SUBTITLE_LOG)))
+    saved = headers(fold(as_state(spark.createDataFrame(rows, schemas.SUBTITLE_LOG))))
     queue = spark.createDataFrame([("u", "audio29", at(40))], schemas.QUEUE)
     feed = M.activity_feed(available, available, saved, queue, current, creators)
     got = [r for r in feed.collect() if r.section == 4]

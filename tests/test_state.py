@@ -31,7 +31,7 @@ def test_first_and_last_write(spark, at):
     assert (a.video_cid, a.is_embed, a.is_audio, a.created_at, a.updated_at) == ("c3", True, False, at(1), at(3))
     assert a.video_created_at is None and a.lang_count == 2  # the creating save had no date
     assert (head["b"].is_embed, head["b"].is_audio, head["c"].is_embed) == (True, True, False)
-    assert {r.permlink: r.languages for r in B.language_lists(state).collect()}["a"] == ["en", "es"]
+    assert a.languages == ["en", "es"]
     assert {r.permlink: r.subtitles for r in B.as_map(state).collect()}["a"] == {"en": "s2", "es": "s3"}
     assert B.from_maps(B.as_map(state)).count() == 4
 
@@ -117,6 +117,8 @@ def test_insert_and_delete(spark, at):
     assert (kept.ord, kept.to_text) == (2, "z")
     listed = have.unionByName(new).withColumn("item_id", lists.item_id(["author"]))
     left = lists.delete_by_id(listed, listed.where("author = 'a'"))
+    ids = listed.where("author = 'a'").select("item_id").union(spark.createDataFrame([("none",)], "item_id string"))
+    assert sorted(r.deleted for r in lists.deletion_report(listed, ids).collect()) == [False, True]
     assert [r.author for r in left.collect()] == ["b"]
     assert [r.author for r in lists.newest_first(have.unionByName(new), ["author"]).collect()] == ["b", "a"]
 
@@ -142,5 +144,8 @@ def test_snapshots_are_switched_last(spark, folder):
 
 
 def test_json_export(spark, at, folder):
-    files.write_json(spark.createDataFrame([("u", at(1))], "author string, added_at timestamp_ntz"), folder)
-    assert spark.read.text(folder).first()[0].startswith('{"author":"u","added_at":"2024-01-01T01:00:00')
+    rows = spark.createDataFrame([("u", at(1)), ("w", at(1).replace(microsecond=5))], "author string, added_at timestamp_ntz")
+    files.write_json(rows.coalesce(1), folder)
+    assert sorted(r[0] for r in spark.read.text(folder).collect()) == [
+        '{"author":"u","added_at":"2024-01-01T01:00:00"}', '{"author":"w","added_at":"2024-01-01T01:00:00.000005"}',
+    ]

@@ -6,6 +6,7 @@ from mediacat.streaming import jobs
 from registry import inputs
 
 SF = "/root/testdata/sf0.001"
+PAIR = ["author", "permlink", "language"]
 LANGS = [Language(i, c) for i, c in enumerate(["en", "es", "fr", "de", "pt"])]
 
 
@@ -61,10 +62,10 @@ def test_completion_and_counts_over_many_batches(spark, folder):
     want = {(r.author, r.permlink): (r.n, r.n == 5) for r in state.groupBy("author", "permlink").agg(F.count("*").alias("n")).collect()}
     got = {(r.author, r.permlink): (r.n_done, r.is_complete) for r in jobs.completion(log, LANGS, f"{folder}/c").collect()}
     assert got == want
-    counts = jobs.live_counts(log, f"{folder}/l")
+    counts = jobs.live_counts(log, PAIR, ["language"], f"{folder}/l")
     assert {tuple(r) for r in counts.collect()} == {tuple(r) for r in state.groupBy("language").count().collect()}
     put(events.where("event_id < 50"), folder, "again")
-    again = jobs.live_counts(inputs.subtitle_log_rows(source(spark, folder, events)), f"{folder}/l")
+    again = jobs.live_counts(inputs.subtitle_log_rows(source(spark, folder, events)), PAIR, ["language"], f"{folder}/l")
     assert {tuple(r) for r in again.collect()} == {tuple(r) for r in state.groupBy("language").count().collect()}
 
 
