@@ -50,7 +50,7 @@ def next_value(
     tagged = df.withColumn("_block", block)
     first = (
         tagged.groupBy(*keys, "_block")
-        .agg(F.min_by(value, F.struct(*order)).alias("_first"))
+        .agg(F.min_by(value, order[0] if len(order) == 1 else F.struct(*order)).alias("_first"))
         .withColumn("_ahead", F.lead("_first").over(W.partitionBy(*keys).orderBy("_block")))
         .drop("_first")
     )
@@ -67,11 +67,16 @@ def next_value(
 def gather_blocks(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, value: Column
 ) -> DataFrame:
-    """One row per (key, block): ``items``, the ordered values of that block."""
-    pair = F.struct(*order, value.alias("_value"))
+    """One row per (key, block): ``items``, the ordered values of that block.
+
+    The value is made in a projection of its own, which compiles as a whole; the
+    aggregate then only collects.
+    """
+    pair = F.struct(*order, value.alias("_value")).alias("_pair")
     return (
-        df.groupBy(*keys, block.alias("_block"))
-        .agg(F.array_sort(F.collect_list(pair)).alias("_pairs"))
+        df.select(*keys, block.alias("_block"), pair)
+        .groupBy(*keys, "_block")
+        .agg(F.sort_array(F.collect_list("_pair")).alias("_pairs"))
         .select(*keys, "_block", F.transform("_pairs", lambda p: p["_value"]).alias("items"))
     )
 

@@ -126,9 +126,14 @@ def transcript_text(
     return join_texts(kept, KEY, list(order), at, F.col("text"), " ", name)
 
 
-def video_duration(segments: DataFrame, order: Sequence[str] = ("seg_idx",)) -> DataFrame:
+def cue_rank() -> Column:
+    """Place of a split cue as one number, which keeps aggregates over it hash-based."""
+    return F.shiftleft("raw_seg", 32) + F.col("cue_in_seg")
+
+
+def video_duration(segments: DataFrame, order: Column | None = None) -> DataFrame:
     """Duration is the end of the last segment in order (not the greatest end)."""
-    last = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    last = F.col("seg_idx") if order is None else order
     return segments.groupBy(*KEY).agg(F.max_by("end_s", last).alias("duration_s")).select(
         *KEY, "duration_s",
         (F.col("duration_s") / 60.0).alias("duration_min"),

@@ -13,6 +13,7 @@ from ..functions.fixed_values import (
 from ..operators.ordered import position
 from ..operators.selection import flag_creators, type_flags
 from ..sinks.lists import queue_flags
+from ..session import shared_folder
 from ..sources.catalog import KEY, catalog_rank
 
 # Pages that end within this many rows use a top-k; deeper ones use row positions.
@@ -128,22 +129,22 @@ def recent_candidates(available: DataFrame, per_type: int = RECENT_PER_TYPE) ->
     return newest(LEGACY).unionByName(newest(EMBED)).unionByName(newest(AUDIO))
 
 
-def _seen(candidates: DataFrame, rows: DataFrame) -> DataFrame:
-    """Keys of a few candidates that a large table holds, without moving that table."""
-    return rows.select(*KEY).join(F.broadcast(candidates.select(*KEY)), KEY, "left_semi").distinct()
-
-
 def recent_pending(
     available: DataFrame, videos: DataFrame, queue: DataFrame, current: DataFrame,
     creators: DataFrame, limit: int = FEED_PENDING,
 ) -> DataFrame:
     """Newest candidates that are not processed, queued or in work. The candidates are
-    limited before the exclusions and again after them; that order is part of the meaning."""
-    candidates = recent_candidates(available)
-    left = candidates
-    for taken in (videos, queue, current):
-        left = left.join(_seen(candidates, taken), KEY, "left_anti")
-    flagged = flag_creators(left, creators).select(*KEY, "video_type", "created_at", "is_priority", *type_flags())
+    limited before the exclusions and again after them; that order is part of the meaning.
+
+    The few candidates are stored, so the catalogs are read once. They go to the large
+    tables as a broadcast (one top-k per catalog bounds them), and only hits come back.
+    """
+    shared_folder(available.sparkSession)
+    candidates = recent_candidates(available).checkpoint()
+    taken = videos.select(*KEY).unionByName(queue.select(*KEY)).unionByName(current.select(*KEY))
+    hits = taken.join(F.broadcast(candidates.select(*KEY)), KEY, "left_semi").distinct()
+    left = flag_creators(candidates.join(hits, KEY, "left_anti"), creators)
+    flagged = left.select(*KEY, "video_type", "created_at", "is_priority", *type_flags())
     kept = flagged.orderBy(F.desc_nulls_last("created_at"), catalog_rank(), *KEY).limit(limit)
     state_name = F.when(F.col("is_priority"), "prioritized").otherwise("pending")
     return _without_languages(kept, state_name, "created_at")

@@ -26,7 +26,7 @@ FANNED = f"""(select s.*, l.code "language" from segments s join seg_durations d
 
 def document_durations(t: Inputs):
     cues = transcript.split_segments(t.raw_segments, MAX_WORDS)
-    return transcript.video_duration(cues, transcript.CUE)
+    return transcript.video_duration(cues, transcript.cue_rank())
 
 
 def fanned(t: Inputs):
@@ -40,7 +40,7 @@ def eligible_languages(spark, sf_dir):
     return L.eligible_languages(document_durations(t), LANGUAGES).drop("duration_min")
 
 
-@query(f"""select author, permlink, count_if(not ({ELIGIBLE})) n_skipped from durations cross join languages group by all""")
+@query(f"""select author, permlink, count_if(not ({ELIGIBLE}))::bigint n_skipped from durations cross join languages group by all""")
 def skipped_languages(spark, sf_dir):
     return L.skipped_languages(document_durations(Inputs(spark, sf_dir)), LANGUAGES)
 
@@ -93,7 +93,7 @@ def translate_segments(spark, sf_dir):
 GAPS = "substring(permlink,2)::bigint % 7 <> 0 or seg_idx % 3 <> 1"
 
 
-@query(f"""select author, permlink, "language", count(*) n_segments, count_if({GAPS}) n_translations
+@query(f"""select author, permlink, "language", count(*) n_segments, count_if({GAPS})::bigint n_translations
   from {FANNED} group by all having count(*)<>count_if({GAPS})""")
 def translation_count_mismatch(spark, sf_dir):
     segments = fanned(Inputs(spark, sf_dir))

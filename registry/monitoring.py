@@ -29,7 +29,7 @@ RECENT = """(select * from (select author, permlink, video_type, cat, created_at
  union all select * from (select author, permlink, video_type, cat, created_at from available where video_type='embed' order by created_at desc, author, permlink limit 20)
  union all select * from (select author, permlink, video_type, cat, created_at from available where video_type='audio' order by created_at desc, author, permlink limit 20))"""
 PENDING = f"""(select author, permlink, case when author in (select author from creators) then 'prioritized' else 'pending' end state,
-  video_type in ('embed','audio') is_embed, video_type='audio' is_audio, '' languages, 0 lang_count, created_at display_date from {RECENT}
+  video_type in ('embed','audio') is_embed, video_type='audio' is_audio, '' languages, 0::bigint lang_count, created_at display_date from {RECENT}
   where (author,permlink) not in (select (author,permlink) from videos) and (author,permlink) not in (select (author,permlink) from queue_log)
   and (author,permlink) not in (select (author,permlink) from in_work) order by created_at desc, cat, author, permlink limit 50)"""
 COMPLETED = """(select v.author, v.permlink, 'complete' state, is_embed, is_audio, languages, lang_count, coalesce(updated_at,created_at) display_date
@@ -146,6 +146,6 @@ def processed_page_deep(spark, sf_dir):
     return M.processed_page(Inputs(spark, sf_dir).videos, page=3, per_page=500, shallow=0)
 
 
-@query("""select count(*) total, count_if(outcome='success') successful, count_if(outcome='failed') failed from run_log where source='batch'""")
+@query("""select count(*) total, count_if(outcome='success')::bigint successful, count_if(outcome='failed')::bigint failed from run_log where source='batch'""")
 def run_summary(spark, sf_dir):
     return M.run_summary(Inputs(spark, sf_dir).run_log)

@@ -108,8 +108,8 @@ def srt_parse(spark, sf_dir):
     return cues.select(*KEY, "language", "seg_idx", "start_ms", "end_ms", "text")
 
 
-@query(f"""select author, permlink, 'en' "language", count(*) cue_count, count_if(trim(text,{WS})='') empty_count,
-  count_if(coalesce({ms('end_s')} > next_ms, false)) overlap_count, true is_valid from (select *,
+@query(f"""select author, permlink, 'en' "language", count(*) cue_count, count_if(trim(text,{WS})='')::bigint empty_count,
+  count_if(coalesce({ms('end_s')} > next_ms, false))::bigint overlap_count, true is_valid from (select *,
   lead({ms('start_s')}) over (partition by author,permlink order by seg_idx) next_ms from segments) group by all""")
 def srt_quality(spark, sf_dir):
     return srt.document_quality(rendered(Inputs(spark, sf_dir)))

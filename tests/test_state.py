@@ -149,3 +149,20 @@ def test_json_export(spark, at, folder):
     assert sorted(r[0] for r in spark.read.text(folder).collect()) == [
         '{"author":"u","added_at":"2024-01-01T01:00:00"}', '{"author":"w","added_at":"2024-01-01T01:00:00.000005"}',
     ]
+
+
+def test_bucketed_tables_join_in_place(spark, folder, at, capsys):
+    state = B.fold(B.as_state(log(spark, at)))
+    for name in ("left_side", "right_side"):
+        files.write_bucketed(state, name, f"{folder}/{name}", 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("left_side").join(spark.table("right_side").select(*KEY).distinct(), KEY, "left_semi")
+        joined.explain("formatted")
+        plan = capsys.readouterr().out
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("left_side", "right_side"):
+            spark.sql(f"drop table {name}")
