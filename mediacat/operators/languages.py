@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import FALLBACK_LANGUAGE
 from ..functions.language_codes import is_mapped, script_code
 from ..sources.catalog import KEY
 from ..sources.tables import Language, codes, languages_array
+from .ordered import block_of, join_facts
 
 
 def _allowed(lang, minutes):
@@ -59,7 +60,9 @@ def remaining_languages(
     )
 
 
-def with_targets(segments: DataFrame, targets: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+def with_targets(
+    segments: DataFrame, targets: DataFrame, carry: Sequence[str] = (), block: Column | None = None
+) -> DataFrame:
     """Segments with the target languages of their video as one short array (distinct
     codes, so no longer than the language list). ``carry`` names columns of ``targets``
     that are constant per video and go along."""
@@ -68,7 +71,7 @@ def with_targets(segments: DataFrame, targets: DataFrame, carry: Sequence[str] =
         .groupBy(*KEY, *carry)
         .agg(F.array_sort(F.collect_list(F.struct("ord", "language"))).alias("targets"))
     )
-    return segments.join(lists, KEY)
+    return join_facts(segments, lists, KEY, block_of("seg_idx") if block is None else block)
 
 
 def per_target(segments: DataFrame) -> DataFrame:
@@ -81,10 +84,12 @@ def per_target(segments: DataFrame) -> DataFrame:
     )
 
 
-def fan_out(segments: DataFrame, targets: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+def fan_out(
+    segments: DataFrame, targets: DataFrame, carry: Sequence[str] = (), block: Column | None = None
+) -> DataFrame:
     """Every segment once per target language of its video. Segments are multiplied only
     after they have been shuffled."""
-    return per_target(with_targets(segments, targets, carry))
+    return per_target(with_targets(segments, targets, carry, block))
 
 
 def detected_language(videos: DataFrame, languages: Sequence[Language], column: str = "lang") -> DataFrame:

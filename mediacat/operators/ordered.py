@@ -3,7 +3,8 @@
 A key (say one video) may hold a third of all rows. So ordered work is done per
 *block* of a key first: a block is any column that never decreases in the wanted
 order, such as ``seg_idx div 4096``. Only one small row per block is then looked at
-key by key.
+key by key. Rows are placed by (key, block) explicitly, because an input that is already
+placed by key alone would otherwise be used as it is.
 """
 
 from __future__ import annotations
@@ -36,7 +37,8 @@ def number_rows(
     )
     inside = W.partitionBy(*keys, "_block").orderBy(*order)
     return (
-        tagged.withColumn("_pos", F.row_number().over(inside))
+        tagged.repartition(*keys, "_block")
+        .withColumn("_pos", F.row_number().over(inside))
         .join(offsets, [*keys, "_block"])
         .withColumn(name, (F.col("_before") + F.col("_pos")).cast("bigint"))
         .drop("_block", "_pos", "_before")
@@ -56,7 +58,8 @@ def next_value(
     )
     inside = W.partitionBy(*keys, "_block").orderBy(*order)
     return (
-        tagged.withColumn("_lead", F.lead(value).over(inside))
+        tagged.repartition(*keys, "_block")
+        .withColumn("_lead", F.lead(value).over(inside))
         .withColumn("_last", F.lead(F.lit(1)).over(inside).isNull())
         .join(first, [*keys, "_block"])
         .withColumn(name, F.when(F.col("_last"), F.col("_ahead")).otherwise(F.col("_lead")))
@@ -64,6 +67,19 @@ def next_value(
     )
 
 
+def join_facts(
+    rows: DataFrame, facts: DataFrame, keys: Sequence[str], block: Column, how: str = "inner"
+) -> DataFrame:
+    """Join one fact row per key to the many rows of that key.
+
+    The fact is copied to the blocks its key has (one for an ordinary key), so the rows
+    of a very large key meet it in many tasks.
+    """
+    tagged = rows.withColumn("_block", block)
+    placed = tagged.select(*keys, "_block").distinct().join(facts, list(keys))
+    return tagged.join(placed, [*keys, "_block"], how).drop("_block")
+
+
 def gather_blocks(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, value: Column
 ) -> DataFrame:
@@ -75,6 +91,7 @@ def gather_blocks(
     pair = F.struct(*order, value.alias("_value")).alias("_pair")
     return (
         df.select(*keys, block.alias("_block"), pair)
+        .repartition(*keys, "_block")
         .groupBy(*keys, "_block")
         .agg(F.sort_array(F.collect_list("_pair")).alias("_pairs"))
         .select(*keys, "_block", F.transform("_pairs", lambda p: p["_value"]).alias("items"))

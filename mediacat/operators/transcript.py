@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import MAX_WORDS, SENTENCE_END
@@ -15,28 +16,6 @@ from .ordered import block_of, join_texts, number_rows
 CUE = ["raw_seg", "cue_in_seg"]
 
 
-def segments_from_words(words: DataFrame) -> DataFrame:
-    """Flat timed words to raw segments with a word array.
-
-    A raw segment is one utterance of the recogniser (tens of words), never a whole
-    video, so the array stays short whatever the size of the video.
-    """
-    return (
-        words.groupBy(*KEY, "raw_seg")
-        .agg(F.array_sort(F.collect_list(F.struct("word_idx", "word", "start_s", "end_s"))).alias("w"))
-        .select(
-            *KEY, "raw_seg",
-            F.element_at("w", 1)["start_s"].alias("start_s"),
-            F.element_at("w", -1)["end_s"].alias("end_s"),
-            F.array_join(F.transform("w", lambda x: x["word"]), "").alias("text"),
-            F.transform(
-                "w",
-                lambda x: F.struct(x["word"].alias("word"), x["start_s"].alias("start_s"), x["end_s"].alias("end_s")),
-            ).alias("words"),
-        )
-    )
-
-
 def words_of(raw_segments: DataFrame) -> DataFrame:
     """Raw segments to flat words, numbered inside their segment."""
     flat = raw_segments.select(*KEY, "raw_seg", F.posexplode_outer("words").alias("word_in_seg", "w"))
@@ -92,6 +71,54 @@ def split_segments(raw_segments: DataFrame, max_words: int = MAX_WORDS) -> DataF
     )
 
 
+def split_words(words: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
+    """The same cues from flat timed words, one row per word in ``word_idx`` order.
+
+    Whatever a segment's length, no task holds it whole: places and sentence ends are
+    found per block of a segment, one row per block links the blocks, and a cue gathers
+    at most ``max_words`` words. ``first_word`` is the place of a cue's first word in its
+    segment (from 1) and so the order of the cues.
+    """
+    seg = [*KEY, "raw_seg"]
+    inside = W.partitionBy(*seg, "_block").orderBy("word_idx")
+    earlier = inside.rowsBetween(W.unboundedPreceding, -1)
+    place = F.row_number().over(inside)
+    marked = (
+        words.withColumn("_block", block_of("word_idx")).repartition(*seg, "_block")
+        .withColumn("_place", place)
+        .withColumn("_end", F.when(strip(F.col("word")).rlike(SENTENCE_END), F.col("_place")))
+    )
+    whole = W.partitionBy(*seg).orderBy("_block")
+    before = whole.rowsBetween(W.unboundedPreceding, -1)
+    blocks = (
+        marked.groupBy(*seg, "_block").agg(F.max("_place").alias("_n"), F.max("_end").alias("_last_end"))
+        .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .withColumn("_total", F.sum("_n").over(W.partitionBy(*seg)))
+        .withColumn("_earlier_end", F.max(F.col("_offset") + F.col("_last_end")).over(before))
+        .select(*seg, "_block", "_offset", "_total", "_earlier_end")
+    )
+    sentence = F.coalesce(F.col("_offset") + F.col("_near_end"), "_earlier_end", F.lit(0))
+    at = F.col("_offset") + F.col("_place")
+    cut = sentence + F.call_function("div", at - sentence - 1, F.lit(max_words)) * max_words + 1
+    cues = (
+        marked.withColumn("_near_end", F.max("_end").over(earlier))
+        .join(blocks, [*seg, "_block"])
+        .withColumn("first_word", F.when(F.col("_total") > max_words, cut).otherwise(1).cast("bigint"))
+        .groupBy(*seg, "first_word")
+        .agg(
+            F.min_by("start_s", "word_idx").alias("start_s"), F.max_by("end_s", "word_idx").alias("end_s"),
+            F.sort_array(F.collect_list(F.struct("word_idx", "word"))).alias("_w"),
+            F.max("_total").alias("_total"),
+        )
+    )
+    text = strip(F.array_join(F.transform("_w", lambda w: w["word"]), ""))
+    return (
+        cues.withColumn("text", text)
+        .where((F.col("_total") <= max_words) | (F.col("text") != ""))
+        .select(*seg, "first_word", "start_s", "end_s", "text")
+    )
+
+
 def cue_block() -> Column:
     """Ordering block of split cues: a few hundred raw segments."""
     return block_of("raw_seg", 512)

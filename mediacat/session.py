@@ -11,6 +11,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Grouping by (key, part) must not settle for rows that are placed by key alone.
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
     "spark.sql.session.timeZone": "UTC",
     # Stream state (queue keys, saved pairs) grows with the data: keep it off the heap.
     "spark.sql.streaming.stateStore.providerClass":

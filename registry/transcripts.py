@@ -40,6 +40,17 @@ def split_segments(spark, sf_dir):
     )
 
 
+@query(f"""select author, permlink, raw_seg, w0%20+1 first_word, {ms('start_s')} start_ms, {ms('end_s')} end_ms, text
+  from cue_groups where n<=8 or text<>''""")
+def split_words(spark, sf_dir):
+    """Cues from one row per word."""
+    words = transcript.words_of(Inputs(spark, sf_dir).raw_segments).withColumnRenamed("word_in_seg", "word_idx")
+    return transcript.split_words(words, MAX_WORDS).select(
+        *KEY, "raw_seg", "first_word",
+        to_millis(F.col("start_s")).alias("start_ms"), to_millis(F.col("end_s")).alias("end_ms"), "text",
+    )
+
+
 @query("select author, permlink, seg_idx, start_s, end_s, text from cues")
 def numbered_cues(spark, sf_dir):
     cues = transcript.split_segments(Inputs(spark, sf_dir).raw_segments, MAX_WORDS)

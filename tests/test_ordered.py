@@ -36,6 +36,28 @@ def test_next_value(spark):
     assert got == want
 
 
+def test_join_facts(spark):
+    made, df = rows(spark)
+    facts = spark.createDataFrame([("hot", 1), ("k3", 2), ("none", 3)], "k string, fact int")
+    got = sorted((r.k, r.i, r.fact) for r in O.join_facts(df, facts, ["k"], O.block_of("i", 16)).collect())
+    assert got == sorted((k, i, {"hot": 1, "k3": 2}[k]) for k, i in made if k in ("hot", "k3"))
+    semi = O.join_facts(df, facts.select("k"), ["k"], O.block_of("i", 16), "left_semi")
+    assert semi.columns == df.columns and semi.count() == len(got)
+
+
+def test_a_large_key_is_spread_even_when_rows_come_placed_by_key(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(8000).selectExpr("'hot' k", "id i").repartition(8, "k")
+        at = O.block_of("i", 100)
+        gathered = O.gather_blocks(df, ["k"], ["i"], at, F.col("i"))
+        numbered = O.number_rows(df, ["k"], ["i"], at, "n")
+        for spread in (gathered, numbered):
+            assert spread.select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_join_texts(spark):
     made, df = rows(spark)
     text = F.col("i").cast("string")
