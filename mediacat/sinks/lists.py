@@ -90,6 +90,12 @@ def pop_oldest(queue: DataFrame) -> DataFrame:
     return queue.orderBy("requested_at", *KEY).limit(1)
 
 
+def after_pop(queue: DataFrame) -> DataFrame:
+    """The queue without the entry :func:`pop_oldest` gives (one row, so broadcast)."""
+    taken = pop_oldest(queue).select(*KEY, "requested_at")
+    return queue.join(F.broadcast(taken), [*KEY, "requested_at"], "left_anti")
+
+
 def drain(queue: DataFrame, catalogs: DataFrame) -> DataFrame:
     """The whole queue in the order it is taken, resolved against the catalogs; an entry
     no catalog knows is kept with ``found`` false and does not hold up the others."""

@@ -64,6 +64,12 @@ def queue_pop(spark, sf_dir):
     return lists.pop_oldest(Inputs(spark, sf_dir).queue)
 
 
+@query("""select author, permlink, requested_at from queue except
+  select author, permlink, requested_at from (select * from queue order by requested_at, author, permlink limit 1)""")
+def queue_after_pop(spark, sf_dir):
+    return lists.after_pop(Inputs(spark, sf_dir).queue).select(*KEY, "requested_at")
+
+
 @query("""select q.author, q.permlink, requested_at, row_number() over (order by requested_at, q.author, q.permlink) queue_pos,
   c.video_type, c.video_type is not null found from queue q left join
   (select * from catalogs qualify row_number() over (partition by author, permlink order by cat)=1) c

@@ -97,3 +97,13 @@ def stream_stats(spark, sf_dir):
 def stream_video_counts(spark, sf_dir):
     log = inputs.subtitle_log_rows(event_stream(Inputs(spark, sf_dir)))
     return jobs.live_counts(log, KEY, ["video_type"], folder(spark))
+
+
+@query("select video_type, count(*) n from available group by all")
+def stream_available_counts(spark, sf_dir):
+    t = Inputs(spark, sf_dir)
+    videos = C.available(
+        inputs.legacy_rows(stream(t, "orders")), inputs.embed_rows(stream(t, "documents")),
+        inputs.audio_rows(stream(t, "pages")), START,
+    )
+    return jobs.live_counts(videos, [*KEY, "video_type"], ["video_type"], folder(spark))

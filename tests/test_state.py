@@ -104,6 +104,7 @@ def test_queue_flags_and_pop(spark, at):
     assert got == {"a": (False, False), "e": (True, False), "s": (True, True), "s2": (True, True), "no": (False, False)}
     assert lists.pop_oldest(rows).first().permlink == "no"
     assert lists.pop_oldest(rows.where("false")).count() == 0
+    assert {r.permlink for r in lists.after_pop(rows).collect()} == {"a", "e", "s", "s2"}
 
 
 def test_insert_and_delete(spark, at):

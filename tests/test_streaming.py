@@ -69,6 +69,16 @@ def test_completion_and_counts_over_many_batches(spark, folder):
     assert {tuple(r) for r in again.collect()} == {tuple(r) for r in state.groupBy("language").count().collect()}
 
 
+def test_live_counts_can_keep_running(spark, folder):
+    events = five_files(spark, folder)
+    log = inputs.subtitle_log_rows(source(spark, folder, events))
+    query = jobs.live_counts(log, PAIR, ["language"], f"{folder}/live", refresh_seconds=1)
+    query.processAllAvailable()
+    query.stop()
+    got = {tuple(r) for r in jobs.read_live_counts(spark, f"{folder}/live", ["language"]).collect()}
+    assert got == {tuple(r) for r in batch_state(events).groupBy("language").count().collect()}
+
+
 def test_queue_keys_enter_once(spark, folder):
     events = five_files(spark, folder)
     requests = inputs.queue_log_rows(source(spark, folder, events))
