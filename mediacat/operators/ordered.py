@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..session import shared_folder
 
 BLOCK = 4096
+SALTS = 32
 
 
 def block_of(column: str, width: int = BLOCK) -> Column:
@@ -80,6 +81,20 @@ def join_facts(
     return tagged.join(placed, [*keys, "_block"], how).drop("_block")
 
 
+def join_list(
+    rows: DataFrame, listed: DataFrame, key: str, spread_by: Sequence[str], how: str
+) -> DataFrame:
+    """Join a list of distinct keys to rows of which one key may hold very many.
+
+    Rows are placed by (key, salt) and the list is repeated once per salt. Spark still
+    broadcasts a list it measures as small.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)))
+    salts = F.array(*[F.lit(i).cast("bigint") for i in range(SALTS)])
+    copies = listed.withColumn("_salt", F.explode(salts))
+    return salted.join(copies, [key, "_salt"], how).drop("_salt")
+
+
 def gather_blocks(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, value: Column
 ) -> DataFrame:

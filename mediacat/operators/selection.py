@@ -13,7 +13,7 @@ from ..functions.fixed_values import (
 )
 from ..functions.text import filled, strip, without_prefix, without_suffix
 from ..sources.catalog import KEY, catalog_rank
-from .ordered import position
+from .ordered import join_list, position
 
 
 def type_flags(video_type: str = "video_type") -> list[Column]:
@@ -76,17 +76,15 @@ def cursor_value(headers: DataFrame, start_text: str) -> datetime | None:
 
 
 def without_blacklisted(videos: DataFrame, authors: DataFrame, items: DataFrame) -> DataFrame:
-    """Two anti joins. Spark broadcasts a list it measures as small; otherwise the
-    adaptive skew rule splits a popular author's rows."""
-    return videos.join(authors.select("author").distinct(), "author", "left_anti").join(
-        items.select(*KEY).distinct(), KEY, "left_anti"
-    )
+    """Two anti joins. Rows of a popular author are salted; (author, permlink) is not."""
+    allowed = join_list(videos, authors.select("author").distinct(), "author", ["permlink"], "left_anti")
+    return allowed.join(items.select(*KEY), KEY, "left_anti")
 
 
 def flag_creators(videos: DataFrame, creators: DataFrame) -> DataFrame:
     listed = creators.select("author").distinct().withColumn("_listed", F.lit(True))
     return (
-        videos.join(listed, "author", "left")
+        join_list(videos, listed, "author", ["permlink"], "left")
         .withColumn("is_priority", F.coalesce("_listed", F.lit(False)))
         .drop("_listed")
     )
