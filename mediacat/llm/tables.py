@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from mediacat.session import shared_folder
@@ -15,3 +17,10 @@ def stored(rows: DataFrame) -> DataFrame:
     """Rows kept in the shared folder, so that a lost executor does not repeat the work before them."""
     shared_folder(rows.sparkSession)
     return rows.checkpoint()
+
+
+def written(rows: DataFrame) -> DataFrame:
+    """Rows kept as a compressed table in the shared folder, for those too large to store as they are."""
+    path = f"{shared_folder(rows.sparkSession)}/rows-{uuid.uuid4().hex}"
+    rows.write.option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
