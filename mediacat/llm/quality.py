@@ -29,8 +29,9 @@ from .words import Words, mix, split_words, sums, text_bytes, text_slices
 
 BUCKETS = 1 << 15
 TRUSTED = 20_000
-LEAST = -0.2
+LEAST = -0.06
 SMOOTHING = 0.5
+PRIOR = 2.0 * BUCKETS  # n-grams of corpus text that are mixed into the trusted counts
 
 # Fixed values.
 SYMBOLS = np.zeros(256, bool)
@@ -134,8 +135,8 @@ def ratios(counts: DataFrame) -> np.ndarray:
         corpus[bucket], trusted[bucket] = n, t
     if not trusted.sum():
         return np.zeros(BUCKETS)
-    share = [np.log((x + SMOOTHING) / (x.sum() + SMOOTHING * BUCKETS)) for x in (trusted, corpus)]
-    return share[0] - share[1]
+    share = (corpus + SMOOTHING) / (corpus.sum() + SMOOTHING * BUCKETS)
+    return np.log((trusted + PRIOR * share) / (trusted.sum() + PRIOR)) - np.log(share)
 
 
 def trusted_documents(labels: DataFrame, bound: int = TRUSTED) -> DataFrame:
