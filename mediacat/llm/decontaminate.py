@@ -58,9 +58,18 @@ class Automaton:
                     self.items[self.window_state(at)].add(name)
             if len(codes) < size:
                 self.short[at].append((len(codes), name))
+        pairs = {a * len(self.words) + b for _, codes in coded for a, b in zip(codes, codes[1:])}
+        self.pairs = np.array(sorted(pairs), np.int64)
         self.least = min([size] + [len(codes) for _, codes in coded])
         self.has_short = self.least < size
 
+    def adjacent(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether the words of each pair follow each other in some item."""
+        if not len(self.pairs):
+            return np.zeros(len(left), bool)
+        key = left * len(self.words) + right
+        return self.pairs[np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)] == key
+
     def _new(self, longest: int, steps: dict[int, int], suffix: int) -> int:
         self.longest.append(longest)
         self.steps.append(steps)
@@ -143,13 +152,14 @@ def find(machine: Automaton, texts: pa.Array) -> tuple[np.ndarray, list[list[lis
     spans, items = [[] for _ in range(n)], [set() for _ in range(n)]
     if words.n:
         known = np.fromiter((machine.words.get(w, -1) for w in words.vocabulary), np.int64)[words.codes]
-        # Runs of item words that are long enough for a window: nothing else can be hit.
+        # Only runs whose adjacent words are adjacent in some item can hold a window.
         owner = np.repeat(np.arange(n), words.counts)
-        inside = known >= 0
-        begin = inside.copy()
-        begin[1:] &= ~inside[:-1] | (owner[1:] != owner[:-1])
-        end = inside.copy()
-        end[:-1] &= ~inside[1:] | (owner[1:] != owner[:-1])
+        step = (known[1:] >= 0) & (known[:-1] >= 0) & (owner[1:] == owner[:-1])
+        at = np.flatnonzero(step)
+        step[at] = machine.adjacent(known[at], known[at + 1])
+        begin, end = known >= 0, known >= 0
+        begin[1:] &= ~step
+        end[:-1] &= ~step
         first, last = np.flatnonzero(begin), np.flatnonzero(end)
         enough = last - first + 1 >= machine.least
         for a, b in zip(first[enough].tolist(), last[enough].tolist()):
