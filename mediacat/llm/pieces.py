@@ -12,7 +12,8 @@ the one piece whose neighbour before it is the last piece of the shorter prefix,
 stays apart from that neighbour when the two are merged alone. It depends on the prefix
 only, so it is shared in the same way.
 
-Defined cases: null and empty texts have no pieces and decode to an empty text. Repeated
+Defined cases: null and empty texts have no pieces and decode to an empty text. A text's own
+mark (U+2581) decodes to a blank, as in the library. Repeated
 rows come out once for each row. Input columns with the name of a result column give way to it.
 """
 

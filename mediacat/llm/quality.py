@@ -29,9 +29,8 @@ from .words import Words, mix, split_words, sums, text_bytes, text_slices
 
 BUCKETS = 1 << 15
 TRUSTED = 20_000
-LEAST = -0.06
-SMOOTHING = 0.5
-PRIOR = 2.0 * BUCKETS  # n-grams of corpus text that are mixed into the trusted counts
+LEAST = -0.09
+PRIOR = 5.0  # added to the trusted count of a bucket and to the one its share of the corpus lets expect
 
 # Fixed values.
 SYMBOLS = np.zeros(256, bool)
@@ -129,14 +128,14 @@ def gram_counts(docs: DataFrame, text: str, trusted: str) -> DataFrame:
 
 
 def ratios(counts: DataFrame) -> np.ndarray:
-    """log p(trusted) - log p(corpus) for each bucket."""
+    """log p(trusted) - log p(corpus) for each bucket, drawn to 0 where few trusted n-grams are expected."""
     corpus, trusted = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for bucket, n, t in counts.collect():  # a row for each bucket at most
         corpus[bucket], trusted[bucket] = n, t
     if not trusted.sum():
         return np.zeros(BUCKETS)
-    share = (corpus + SMOOTHING) / (corpus.sum() + SMOOTHING * BUCKETS)
-    return np.log((trusted + PRIOR * share) / (trusted.sum() + PRIOR)) - np.log(share)
+    expected = corpus * (trusted.sum() / corpus.sum())
+    return np.log((trusted + PRIOR) / (expected + PRIOR))
 
 
 def trusted_documents(labels: DataFrame, bound: int = TRUSTED) -> DataFrame:
