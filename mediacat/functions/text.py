@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from .fixed_values import WHITESPACE
 
-# Above this many rules the expression folds over an array instead of nesting calls.
-NESTED_RULES = 64
-
 
 def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
@@ -44,13 +41,8 @@ def literal_replacement(text: str) -> str:
 def corrected(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
     """Apply ordered, case-insensitive, literal replace-all rules.
 
-    A short list becomes nested calls with constant patterns (compiled once per
-    task); a long one is folded over an array so the plan stays small.
+    Each rule is a call with a constant pattern, which is compiled once in a task.
     """
-    pairs = [(literal_pattern(old), literal_replacement(new)) for old, new in rules]
-    if len(pairs) <= NESTED_RULES:
-        for pattern, replacement in pairs:
-            text = F.regexp_replace(text, F.lit(pattern), F.lit(replacement))
-        return text
-    table = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(r).alias("r")) for p, r in pairs])
-    return F.reduce(table, text, lambda acc, rule: F.regexp_replace(acc, rule["p"], rule["r"]))
+    for old, new in rules:
+        text = F.regexp_replace(text, F.lit(literal_pattern(old)), F.lit(literal_replacement(new)))
+    return text

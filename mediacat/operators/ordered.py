@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from ..session import shared_folder
 
 BLOCK = 4096
-SALTS = 32
 
 
 def block_of(column: str, width: int = BLOCK) -> Column:
@@ -82,16 +81,18 @@ def join_facts(
 
 
 def join_list(
-    rows: DataFrame, listed: DataFrame, key: str, spread_by: Sequence[str], how: str
+    rows: DataFrame, listed: DataFrame, key: str, spread_by: Sequence[str], how: str,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join a list of distinct keys to rows of which one key may hold very many.
 
-    Rows are placed by (key, salt) and the list is repeated once per salt. Spark still
-    broadcasts a list it measures as small.
+    Rows are placed by (key, salt) and the list is repeated once per salt; by default there
+    are as many salts as shuffle partitions. Spark still broadcasts a list it measures as
+    small.
     """
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)))
-    salts = F.array(*[F.lit(i).cast("bigint") for i in range(SALTS)])
-    copies = listed.withColumn("_salt", F.explode(salts))
+    n = salts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(n).cast("bigint")))
+    copies = listed.withColumn("_salt", F.explode(F.sequence(*[F.lit(i).cast("bigint") for i in (0, n - 1)])))
     return salted.join(copies, [key, "_salt"], how).drop("_salt")
 
 

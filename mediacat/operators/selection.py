@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date
@@ -90,17 +91,33 @@ def flag_creators(videos: DataFrame, creators: DataFrame) -> DataFrame:
     )
 
 
-def work_rank(videos: DataFrame, creators: DataFrame) -> DataFrame:
-    """Add the three sort ranks: creator, catalog, published."""
+def _type_rank() -> Column:
     kind = F.lit(WORK_TYPE_RANK["audio"])
     for name, rank in WORK_TYPE_RANK.items():
         kind = F.when(F.col("video_type") == name, rank).otherwise(kind)
-    published = F.coalesce(F.col("status") == PUBLISHED, F.lit(False))
+    return kind
+
+
+def _status_rank() -> Column:
+    return F.when(F.coalesce(F.col("status") == PUBLISHED, F.lit(False)), 0).otherwise(1)
+
+
+def one_per_key(videos: DataFrame) -> DataFrame:
+    """Of the rows of a key in several catalogs, the one that comes first in work order.
+
+    A key has at most a row or two in each catalog, so its window is small.
+    """
+    first = W.partitionBy(*KEY).orderBy(_type_rank(), _status_rank(), F.asc_nulls_first("created_at"), catalog_rank())
+    return videos.withColumn("_first", F.row_number().over(first)).where("_first = 1").drop("_first")
+
+
+def work_rank(videos: DataFrame, creators: DataFrame) -> DataFrame:
+    """Add the three sort ranks: creator, catalog, published."""
     return (
         flag_creators(videos, creators)
         .withColumn("prio_rank", F.when(F.col("is_priority"), 0).otherwise(1))
-        .withColumn("type_rank", kind)
-        .withColumn("status_rank", F.when(published, 0).otherwise(1))
+        .withColumn("type_rank", _type_rank())
+        .withColumn("status_rank", _status_rank())
     )
 
 

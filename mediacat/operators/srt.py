@@ -68,10 +68,21 @@ def render_parts(
     )
 
 
+def _pieces(srt: Column) -> Column:
+    """A file cut where cues start: line ends as newlines, no byte order mark, no blank lines around."""
+    plain = F.regexp_replace(F.regexp_replace(srt, r"\r\n?", "\n"), r"\A\x{FEFF}?\n*", "")
+    return F.split(F.regexp_replace(plain, r"\n\n\z", ""), CUE_BOUNDARY)
+
+
 def _cue_texts(srt: Column) -> Column:
     """Texts of the cues of one file; the closing blank line of each is left out."""
-    body = F.regexp_replace(srt, r"\n\n\z", "")
-    return F.filter(F.split(body, CUE_BOUNDARY), lambda c: c.rlike(CUE_FORM))
+    return F.filter(_pieces(srt), lambda c: c.rlike(CUE_FORM))
+
+
+def unparsed(documents: DataFrame, keys: Sequence[str] = DOCUMENT) -> DataFrame:
+    """Pieces of files that are no cue: (keys, ``at``, ``piece``), for the user to look at."""
+    found = documents.select(*keys, F.posexplode_outer(_pieces(F.col("srt"))).alias("at", "piece"))
+    return found.where((F.col("piece") != "") & ~F.col("piece").rlike(CUE_FORM))
 
 
 def parse_documents(documents: DataFrame, keys: Sequence[str] = DOCUMENT) -> DataFrame:

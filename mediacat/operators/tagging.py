@@ -21,6 +21,8 @@ from ..functions.text import strip
 from ..sources.tables import Tag
 
 Score = Callable[[list[str], list[str]], Sequence[Sequence[float]]]
+# Texts in one call of the scorer.
+SCORING_BATCH = 64
 SCORES_TYPE = "array<struct<label: string, score: double>>"
 
 
@@ -68,17 +70,38 @@ def with_seed_scores(rows: DataFrame, tags: Sequence[Tag], text: str = "tag_text
     )
 
 
-def scored_by_hook(rows: DataFrame, score: Score, labels: Sequence[str], text: str = "tag_text") -> DataFrame:
-    """Add ``scores`` from a user's scorer, in Arrow batches. Rows without text get NULL."""
+def _checked(score: Score, texts: list[str], names: list[str]) -> list[list[float] | None]:
+    """Scores of each text, None where the scorer fails or does not answer for every label."""
+    try:
+        found = [[float(v) for v in values] for values in score(texts, names)]
+        if len(found) == len(texts) and all(len(values) == len(names) for values in found):
+            return found
+    except Exception:  # the user's scorer: the text gets the tags of a failure
+        pass
+    if len(texts) == 1:
+        return [None]
+    return [_checked(score, [text], names)[0] for text in texts]
+
+
+def scored_by_hook(
+    rows: DataFrame, score: Score, labels: Sequence[str], text: str = "tag_text", batch: int = SCORING_BATCH,
+) -> DataFrame:
+    """Add ``scores`` from a user's scorer, ``batch`` texts at a time.
+
+    Rows without text get NULL, and so do texts the scorer fails on: a batch that fails is
+    tried text by text. Give only the key and the text; the rest is joined afterwards.
+    """
     names = list(labels)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             has = frame[text].notna()
-            found = score(list(frame.loc[has, text]), names)
+            texts, found = list(frame.loc[has, text]), []
+            for at in range(0, len(texts), batch):
+                found += _checked(score, texts[at:at + batch], names)
             column = pd.Series([None] * len(frame), index=frame.index, dtype=object)
             column[has] = pd.Series(
-                [[{"label": n, "score": float(v)} for n, v in zip(names, values)] for values in found],
+                [values and [{"label": n, "score": v} for n, v in zip(names, values)] for values in found],
                 index=frame.index[has], dtype=object,
             )
             yield frame.assign(scores=column)

@@ -16,9 +16,6 @@ from ..sinks.lists import queue_flags
 from ..session import shared_folder
 from ..sources.catalog import KEY, catalog_rank
 
-# Pages that end within this many rows use a top-k; deeper ones use row positions.
-SHALLOW_ROWS = 10_000
-
 
 def processed_type() -> Column:
     """Type of a processed video from its flags; a missing flag counts as not set."""
@@ -150,6 +147,9 @@ def recent_pending(
     return _without_languages(kept, state_name, "created_at")
 
 
+FINISHED_SECTION = 3
+
+
 def activity_feed(
     available: DataFrame, catalogs: DataFrame, videos: DataFrame, queue: DataFrame,
     current: DataFrame, creators: DataFrame,
@@ -172,26 +172,24 @@ def feed_pending(feed: DataFrame) -> DataFrame:
     return feed.where(F.col("state") != "complete")
 
 
-def feed_complete(feed: DataFrame) -> DataFrame:
-    return feed.where(F.col("state") == "complete")
+def feed_complete(videos: DataFrame) -> DataFrame:
+    """The finished section of the feed alone: the others are not computed."""
+    return recent_completed(videos).withColumn("section", F.lit(FINISHED_SECTION))
 
 
 def processed_page(
-    videos: DataFrame, page: int = 1, per_page: int = 50, shallow: int = SHALLOW_ROWS
+    videos: DataFrame, page: int = 1, per_page: int = 50
 ) -> DataFrame:
     """One page of processed videos, newest first, and whether there is a next page.
 
-    One row more than the page is taken: it exists exactly when there is more. A deep
-    page is cut by row positions, so the rows before it are never sent to one task.
+    One row more than the page is taken: it exists exactly when there is more. Pages are
+    cut by row positions, so the rows before one are never sent to one task.
     """
     size = min(int(per_page), PAGE_MAX)
     skip = (page - 1) * size
     order = [F.desc("updated_at"), F.col("author"), F.col("permlink")]
-    if skip + size < shallow:
-        rows = videos.orderBy(*order).offset(skip).limit(size + 1)
-    else:
-        placed = position(videos, order, "_p")
-        rows = placed.where(F.col("_p").between(skip + 1, skip + size + 1)).drop("_p")
+    placed = position(videos, order, "_p")
+    rows = placed.where(F.col("_p").between(skip + 1, skip + size + 1)).drop("_p")
     place = W.orderBy(*order)  # at most size + 1 rows
     rows = (
         rows.withColumn("_n", F.row_number().over(place))

@@ -14,14 +14,9 @@ def read(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> D
     return spark.read.schema(schema).format(fmt).load(path)
 
 
-def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores for costly row work on a scan of few pieces.
-
-    A scan with at least as many pieces as there are cores is left as it is, so a large
-    table is never shuffled for this.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, *keys)
+def spread(rows: DataFrame, pieces: int, *keys: str) -> DataFrame:
+    """Deal rows out to ``pieces`` tasks by ``keys``, for costly row work on a scan of few pieces."""
+    return rows.repartition(pieces, *keys)
 
 
 @dataclass(frozen=True)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.ordered import position
 from ..operators.selection import work_order_columns, work_rank
 from ..sinks.subtitles import as_state, fold
 from ..sources.catalog import KEY, videos_since
@@ -139,24 +140,23 @@ def completion(log: DataFrame, languages: Sequence[Language], base: str) -> Data
 def prioritised_work(
     requests: DataFrame, candidates: DataFrame, catalogs: DataFrame, creators: DataFrame, base: str
 ) -> DataFrame:
-    """Work list of each micro-batch: requested items first, oldest request first, then the
-    candidates in work order. ``bucket`` is 0 for requested items."""
-    ranked = work_rank(candidates, creators)
-
-    def order(batch: DataFrame, batch_id: int) -> None:
-        asked = batch.groupBy(*KEY).agg(F.min("requested_at").alias("requested_at"))
-        known = catalogs.select(*KEY).join(asked.select(*KEY), KEY, "left_semi").distinct()
-        ahead = asked.join(known, KEY).withColumn("bucket", F.lit(0))
-        behind = ranked.join(asked.select(*KEY), KEY, "left_anti").withColumn("bucket", F.lit(1))
-        rows = ahead.unionByName(behind, allowMissingColumns=True)
-        ordered = rows.orderBy("bucket", F.asc_nulls_last("requested_at"), *work_order_columns())
-        _keep(f"{base}/rows")(
-            ordered.select(*KEY, "bucket", "requested_at", "prio_rank", "type_rank", "status_rank", "created_at"),
-            batch_id,
-        )
+    """The work list: requested items first, oldest request first, then the candidates in
+    work order. ``bucket`` is 0 for requested items, ``position`` the place in the list.
 
-    drain(requests, f"{base}/checkpoint", "append", order)
-    return _kept(requests.sparkSession, f"{base}/rows")
+    The stream keeps only the requests; they are joined with the candidates once, whatever
+    the number of micro-batches.
+    """
+    drain(requests.select(*KEY, "requested_at"), f"{base}/checkpoint", "append", _keep(f"{base}/requests"))
+    kept = _kept(requests.sparkSession, f"{base}/requests")
+    asked = kept.groupBy(*KEY).agg(F.min("requested_at").alias("requested_at"))
+    known = catalogs.select(*KEY).join(asked.select(*KEY), KEY, "left_semi").distinct()
+    ahead = asked.join(known, KEY).withColumn("bucket", F.lit(0))
+    behind = work_rank(candidates, creators).join(asked.select(*KEY), KEY, "left_anti").withColumn("bucket", F.lit(1))
+    rows = ahead.unionByName(behind, allowMissingColumns=True)
+    order = [F.col("bucket"), F.asc_nulls_last("requested_at"), *work_order_columns()]
+    return position(rows, order, "position").select(
+        *KEY, "bucket", "requested_at", "prio_rank", "type_rank", "status_rank", "created_at", "position"
+    )
 
 
 def live_counts(

@@ -10,7 +10,14 @@ from mediacat.sinks.subtitles import as_state, fold, headers
 from mediacat.sources.catalog import everything
 from mediacat.sources.tables import spread
 
-ITEM_AUTHOR = "concat('user', item % 50) author"
+
+
+def author_of(number: str) -> str:
+    """One busy author has every eighth item; each of the others has up to seven."""
+    return f"concat('user', case when {number} % 8 = 0 then 0 else {number} div 8 end)"
+
+
+ITEM_AUTHOR = f"{author_of('item')} author"
 ITEM_PERMLINK = (
     "concat(case video_type when 'embed' then 'd' when 'audio' then 'a' else 'v' end, item) permlink"
 )
@@ -25,7 +32,7 @@ class Inputs:
 
     @cached_property
     def documents(self) -> DataFrame:
-        return spread(self.table("documents"), "doc_id")
+        return spread(self.table("documents"), self.spark.sparkContext.defaultParallelism, "doc_id")
 
     @cached_property
     def legacy(self) -> DataFrame:
@@ -49,7 +56,7 @@ class Inputs:
         return (
             self.documents
             .selectExpr(
-                "concat('user', doc_id % 50) author", "concat('d', doc_id) permlink",
+                f"{author_of('doc_id')} author", "concat('d', doc_id) permlink",
                 r"filter(split(text, '\\s+'), x -> x <> '') toks",
             )
             .selectExpr(
@@ -72,7 +79,7 @@ class Inputs:
     @cached_property
     def segments(self) -> DataFrame:
         return self.table("conversations").selectExpr(
-            "concat('user', conv_id % 50) author", "concat('c', conv_id) permlink", "turn seg_idx",
+            f"{author_of('conv_id')} author", "concat('c', conv_id) permlink", "turn seg_idx",
             "cast(turn as double) * 5 start_s",
             "cast(turn as double) * 5 + least(cast(length(text) as double) / 20, 6) end_s",
             "case when (conv_id + turn) % 23 = 0 then '' else text end text",
@@ -133,19 +140,19 @@ class Inputs:
     @cached_property
     def blacklist(self) -> DataFrame:
         return self.table("labels").where("toxic = 1").selectExpr(
-            "concat('user', doc_id % 50) author", "concat('d', doc_id) permlink",
+            f"{author_of('doc_id')} author", "concat('d', doc_id) permlink",
             "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(doc_id % 300 as int)) added_at",
         )
 
     @cached_property
     def blacklist_authors(self) -> DataFrame:
-        return self.table("customer").where("c_custkey < 50 and c_custkey % 11 = 3").selectExpr(
+        return self.table("customer").where("c_custkey % 11 = 3").selectExpr(
             "concat('user', c_custkey) author"
         )
 
     @cached_property
     def creators(self) -> DataFrame:
-        return self.table("customer").where("c_custkey < 50 and c_custkey % 9 = 1").selectExpr(
+        return self.table("customer").where("c_custkey % 9 = 1").selectExpr(
             "concat('user', c_custkey) author"
         )
 
@@ -174,7 +181,7 @@ class Inputs:
 
 def legacy_rows(orders: DataFrame) -> DataFrame:
     return orders.selectExpr(
-        "concat('user', o_orderkey % 50) owner", "concat('v', o_orderkey) permlink",
+        f"{author_of('o_orderkey')} owner", "concat('v', o_orderkey) permlink",
         """case o_orderkey % 10 when 0 then null when 1 then '' when 2 then concat('http://x/', o_orderkey)
              else concat('ipfs://Qm', o_orderkey) end filename""",
         "case when o_orderkey % 3 = 0 then concat('ipfs://Hl', o_orderkey, '/manifest.m3u8') end video_v2",
@@ -186,7 +193,7 @@ def legacy_rows(orders: DataFrame) -> DataFrame:
 
 def embed_rows(documents: DataFrame) -> DataFrame:
     return documents.selectExpr(
-        "concat('user', doc_id % 50) owner", "concat('d', doc_id) permlink",
+        f"{author_of('doc_id')} owner", "concat('d', doc_id) permlink",
         "case when doc_id % 13 = 0 then null when doc_id % 17 = 0 then '' else concat('Em', doc_id) end manifest_cid",
         "case when doc_id % 7 = 0 then 'draft' else 'published' end status",
         "timestamp_ntz'1998-01-01 00:00:00' + make_dt_interval(cast(doc_id % 1000 as int)) createdAt",
@@ -196,7 +203,7 @@ def embed_rows(documents: DataFrame) -> DataFrame:
 
 def audio_rows(pages: DataFrame) -> DataFrame:
     return pages.selectExpr(
-        "concat('user', page_id % 50) owner", "concat('a', page_id) permlink",
+        f"{author_of('page_id')} owner", "concat('a', page_id) permlink",
         "case when page_id % 11 = 0 then null else concat('Au', page_id) end audio_cid",
         "case when page_id % 7 = 0 then 'draft' else 'published' end status",
         "timestamp_ntz'1999-01-01 00:00:00' + make_dt_interval(cast(page_id % 500 as int)) createdAt",
@@ -204,10 +211,10 @@ def audio_rows(pages: DataFrame) -> DataFrame:
 
 
 def items(events: DataFrame) -> DataFrame:
-    """Events with an operation code and the item they refer to."""
+    """Events with an operation code and the item they refer to: one item has an eighth of them, the others grow with the events."""
     return events.selectExpr("*", "event_id % 10 op", "event_id div 10 n").selectExpr(
         "*", "case when n % 4 < 2 then 'embed' when n % 4 = 2 then 'audio' else 'legacy' end video_type",
-        "case when n % 4 < 2 then n % 150 when n % 4 = 2 then n % 40 else n % 300 end item",
+        "case when n % 8 = 1 then 1 else n div 4 end item",
     )
 
 

@@ -90,6 +90,19 @@ def translate_segments(spark, sf_dir):
     return done.select(*KEY, "seg_idx", "language", "start_s", "end_s", "text")
 
 
+@query(f"""select author, permlink, "language", count(*) n_segments from {FANNED} group by all having count_if("language"='fr' and length(text)%7=3)>0""")
+def translation_rejects(spark, sf_dir):
+    """A model that fails on some texts of one language rejects these documents only."""
+    def choosy(texts, source, target):
+        if target == "fra_Latn" and any(len(text) % 7 == 3 for text in texts):
+            raise ValueError("no answer")
+        return stand_in_translation(texts, source, target)
+
+    rows = fanned(Inputs(spark, sf_dir))
+    failed = translation.rejects(rows, translation.stored_translations(rows, choosy))
+    return rows.join(failed, [*KEY, "language"]).groupBy(*KEY, "language").agg(F.count("*").alias("n_segments"))
+
+
 GAPS = "substring(permlink,2)::bigint % 7 <> 0 or seg_idx % 3 <> 1"
 
 

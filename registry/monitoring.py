@@ -132,7 +132,7 @@ def feed_pending(spark, sf_dir):
 
 @query(f"select * from {FEED} where state='complete'")
 def feed_complete(spark, sf_dir):
-    return M.feed_complete(feed(Inputs(spark, sf_dir)))
+    return M.feed_complete(Inputs(spark, sf_dir).videos)
 
 
 @query(page_sql(2, 50))
@@ -143,7 +143,7 @@ def processed_page(spark, sf_dir):
 @query(page_sql(3, 100))
 def processed_page_deep(spark, sf_dir):
     """The path of deep pages: cut by row positions. Page size is held at its maximum."""
-    return M.processed_page(Inputs(spark, sf_dir).videos, page=3, per_page=500, shallow=0)
+    return M.processed_page(Inputs(spark, sf_dir).videos, page=3, per_page=500)
 
 
 @query("""select count(*) total, count_if(outcome='success')::bigint successful, count_if(outcome='failed')::bigint failed from run_log where source='batch'""")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from mediacat.sinks import lists, subtitles
 
 from . import query
-from .inputs import Inputs
+from .inputs import Inputs, author_of
 
 KEY = ["author", "permlink"]
 
@@ -87,35 +87,35 @@ def queue_flags(spark, sf_dir):
     return lists.queue_flags(t.queue, t.catalogs)
 
 
-@query("""select author, permlink, min(added_at) added_at from (select 'user'||(doc_id%50) author, 'd'||doc_id permlink,
+@query("""select author, permlink, min(added_at) added_at from (select 'user'||(case when doc_id%8=0 then 0 else doc_id//8 end) author, 'd'||doc_id permlink,
   timestamp'2024-02-01'+to_days(cast(doc_id%7 as int)) added_at from labels where quality=0) i
   where not exists (select 1 from blacklist b where b.author=i.author and b.permlink=i.permlink) group by all""")
 def list_insert_if_absent(spark, sf_dir):
     t = Inputs(spark, sf_dir)
     asked = t.table("labels").where("quality = 0").selectExpr(
-        "concat('user', doc_id % 50) author", "concat('d', doc_id) permlink",
+        f"{author_of('doc_id')} author", "concat('d', doc_id) permlink",
         "timestamp_ntz'2024-02-01 00:00:00' + make_dt_interval(cast(doc_id % 7 as int)) added_at",
     )
     return lists.insert_if_absent(t.blacklist, asked, KEY)
 
 
 @query("""select sha256(author||chr(31)||permlink) item_id, author, permlink from blacklist where
-  (author,permlink) not in (select ('user'||(doc_id%50), 'd'||doc_id) from labels where quality=1)""")
+  (author,permlink) not in (select ('user'||(case when doc_id%8=0 then 0 else doc_id//8 end), 'd'||doc_id) from labels where quality=1)""")
 def list_delete(spark, sf_dir):
     t = Inputs(spark, sf_dir)
     good = t.table("labels").where("quality = 1").selectExpr(
-        "concat('user', doc_id % 50) author", "concat('d', doc_id) permlink"
+        f"{author_of('doc_id')} author", "concat('d', doc_id) permlink"
     )
     rows = t.blacklist.select(lists.item_id(KEY).alias("item_id"), *KEY)
     return lists.delete_by_id(rows, good.select(lists.item_id(KEY).alias("item_id")))
 
 
 @query("""select item_id, item_id in (select sha256(author||chr(31)||permlink) from blacklist) deleted from
-  (select sha256('user'||(doc_id%50)||chr(31)||'d'||doc_id) item_id from labels where quality=1)""")
+  (select sha256('user'||(case when doc_id%8=0 then 0 else doc_id//8 end)||chr(31)||'d'||doc_id) item_id from labels where quality=1)""")
 def list_delete_report(spark, sf_dir):
     t = Inputs(spark, sf_dir)
     asked = t.table("labels").where("quality = 1").selectExpr(
-        "concat('user', doc_id % 50) author", "concat('d', doc_id) permlink"
+        f"{author_of('doc_id')} author", "concat('d', doc_id) permlink"
     )
     ids = asked.select(lists.item_id(KEY).alias("item_id"))
     return lists.deletion_report(t.blacklist.select(lists.item_id(KEY).alias("item_id")), ids)

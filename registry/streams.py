@@ -73,18 +73,20 @@ def stream_completion(spark, sf_dir):
     return jobs.completion(inputs.subtitle_log_rows(event_stream(t)), LANGUAGES, folder(spark))
 
 
-@query("""select author, permlink, 0 bucket, requested_at, null::int prio_rank, null::int type_rank, null::int status_rank from queue
+@query("""select author, permlink, bucket, requested_at, prio_rank, type_rank, status_rank, row_number() over (order by bucket, requested_at nulls last,
+    prio_rank, type_rank, status_rank, created_at nulls first, cat, author, permlink) as "position" from (
+  select author, permlink, 0 bucket, requested_at, null::int prio_rank, null::int type_rank, null::int status_rank, null::timestamp created_at, 0 cat from queue
     where (author, permlink) in (select (author, permlink) from catalogs)
   union all select author, permlink, 1, null, case when author in (select author from creators) then 0 else 1 end,
-    case video_type when 'embed' then 0 when 'legacy' then 1 else 2 end, case when status='published' then 0 else 1 end
-  from candidates where (author, permlink) not in (select (author, permlink) from queue)""")
+    case video_type when 'embed' then 0 when 'legacy' then 1 else 2 end, case when status='published' then 0 else 1 end, created_at, cat
+  from candidates where (author, permlink) not in (select (author, permlink) from queue))""")
 def stream_priority(spark, sf_dir):
     t = Inputs(spark, sf_dir)
     candidates = C.all_videos(t.legacy, t.embed, t.audio, NOW)
     rows = jobs.prioritised_work(
         inputs.queue_log_rows(event_stream(t)), candidates, t.catalogs, t.creators, folder(spark)
     )
-    return rows.select(*KEY, "bucket", "requested_at", "prio_rank", "type_rank", "status_rank")
+    return rows.drop("created_at")
 
 
 @query('select "language", count(*) n from state group by all')

@@ -25,6 +25,16 @@ TAGGED = f"""(select author, permlink, t.doc_id, tag_text is null no_text, tags
   where (score>=0.02 and r<=2) or r=1 group by doc_id) s on t.doc_id=s.doc_id)"""
 
 
+def seed_shares(texts, labels):
+    """A stand-in scorer: the share of a text's words that equal the seed of each label."""
+    seeds = {tag.label: tag.seed for tag in TAGS}
+    found = []
+    for text in texts:
+        tokens = text.split()
+        found.append([tokens.count(seeds[label]) / max(len(tokens), 1) for label in labels])
+    return found
+
+
 def tag_texts(t: Inputs):
     """Embed rows with description and sampled speech; some have one of them, some neither."""
     k = "cast(substring(permlink, 2) as bigint)"
@@ -72,12 +82,20 @@ def select_tags(spark, sf_dir):
     return tagged(Inputs(spark, sf_dir)).select(*KEY, "reason", F.array_join("tags", ",").alias("tags"))
 
 
-@query(f"""select author, permlink, case when tag_text is null then 'no_text' else 'failed' end reason,
-  case when tag_text is null then 'vlog,general' else 'general,video' end tags from {TEXT}""")
+@query(f"""select author, permlink, case when tag_text is null then 'no_text' when length(tag_text)%3=0 then 'failed' else 'scored' end reason,
+  case when tag_text is null then 'vlog,general' when length(tag_text)%3=0 then 'general,video' else tags end tags
+  from {TEXT} x join (select author, permlink, tags from {TAGGED}) y using (author, permlink)""")
 def failed_tags(spark, sf_dir):
-    """Every text after a scorer that returned nothing."""
-    rows = tag_texts(Inputs(spark, sf_dir)).withColumn("scores", F.lit(None).cast(tagging.SCORES_TYPE))
-    return tagging.select_tags(rows).select(*KEY, "reason", F.array_join("tags", ",").alias("tags"))
+    """A scorer that raises for some texts: only these get the tags of a failure."""
+    def choosy(texts, labels):
+        if any(len(text) % 3 == 0 for text in texts):
+            raise ValueError("no answer")
+        return seed_shares(texts, labels)
+
+    texts = tag_texts(Inputs(spark, sf_dir)).select(*KEY, "tag_text")
+    rows = tagging.scored_by_hook(texts, choosy, [tag.label for tag in TAGS])
+    found = tagging.select_tags(rows, MAX_TAGS, MIN_CONFIDENCE)
+    return found.select(*KEY, "reason", F.array_join("tags", ",").alias("tags"))
 
 
 @query(f"""select author, permlink, array_to_string(list_concat(tags, list_filter(custom, lambda x: not list_contains(tags,x))[1:greatest(0,4-len(tags))]),',') tags
@@ -102,13 +120,6 @@ def tags_csv(spark, sf_dir):
 @query(f"select doc_id, label, score from {SCORES.format(text='text', rows='documents')}")
 def tag_scores_hook(spark, sf_dir):
     """The same scores through the user's scorer hook (Arrow batches)."""
-    seeds = {tag.label: tag.seed for tag in TAGS}
-
-    def share(texts, labels):
-        for text in texts:
-            tokens = text.split()
-            yield [tokens.count(seeds[label]) / max(len(tokens), 1) for label in labels]
-
     rows = Inputs(spark, sf_dir).documents.select("doc_id", "text")
-    found = tagging.scored_by_hook(rows, share, [tag.label for tag in TAGS], text="text")
+    found = tagging.scored_by_hook(rows, seed_shares, [tag.label for tag in TAGS], text="text")
     return found.select("doc_id", F.explode("scores").alias("s")).select("doc_id", "s.label", "s.score")

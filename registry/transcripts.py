@@ -1,10 +1,15 @@
 """Transcripts and SRT text."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from mediacat.functions.timecode import to_millis, to_timecode
 from mediacat.operators import srt, transcript
 from mediacat.operators.transcript import CUE, cue_block
+from mediacat.session import shared_folder
+from mediacat.sinks import files
+from mediacat.sources.srt_files import read_srt
 
 from . import query
 from .inputs import Inputs
@@ -155,3 +160,34 @@ def hotword_prompt(spark, sf_dir):
     from mediacat.sources.tables import hotword_prompt as prompt
 
     return prompt(Inputs(spark, sf_dir).table("customer").selectExpr("c_mktsegment word"))
+
+
+NUMBERED = "lpad(substring(permlink,2),6,'0')"
+
+
+def written_files(t: Inputs):
+    """The rendered documents, some with other line ends or a byte order mark, written and read again."""
+    name = F.lpad(F.substring("permlink", 2, 20), 6, "0")
+    number = name.cast("int") % 4
+    text = (
+        F.when(number == 1, F.replace("srt", F.lit("\n"), F.lit("\r\n")))
+        .when(number == 2, F.concat(F.lit("\ufeff"), "srt")).when(number == 3, F.concat(F.lit("note\n\n"), "srt")).otherwise(F.col("srt"))
+    )
+    documents = rendered(t).select("author", name.alias("permlink"), "language", text.alias("srt"))
+    folder = f"{shared_folder(t.spark)}/srt-{uuid.uuid4().hex}"
+    files.write_srt(documents, folder)
+    return read_srt(t.spark, folder)
+
+
+@query(f"""select author, {NUMBERED} permlink, "language", cue_count, octet_length(encode(srt)) + case {NUMBERED}::int%4
+  when 1 then length(srt)-length(replace(srt,chr(10),'')) when 2 then 3 when 3 then 6 else 0 end n_bytes from rendered""")
+def srt_file_round_trip(spark, sf_dir):
+    """Files with numeric-looking names and every kind of line end come back with all their cues."""
+    found = written_files(Inputs(spark, sf_dir))
+    sizes = found.select(*srt.DOCUMENT, F.octet_length("srt").cast("long").alias("n_bytes"))
+    return srt.document_quality(found).select(*srt.DOCUMENT, "cue_count").join(sizes, srt.DOCUMENT)
+
+
+@query(f"""select author, {NUMBERED} permlink, "language", 0 "at", 'note' piece from rendered where {NUMBERED}::int%4=3""")
+def srt_unparsed(spark, sf_dir):
+    return srt.unparsed(written_files(Inputs(spark, sf_dir)))

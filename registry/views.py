@@ -34,24 +34,24 @@ def corrections(text: str) -> str:
 
 
 _ITEM = (
-    "'user'||(item%50) author, (case video_type when 'embed' then 'd' when 'audio' then 'a' else 'v' end)||item permlink"
+    "'user'||(case when item%8=0 then 0 else item//8 end) author, (case video_type when 'embed' then 'd' when 'audio' then 'a' else 'v' end)||item permlink"
 )
 
 VIEWS = {
     "languages": f"select * from (values {_values((x.ord, x.code, x.max_duration) for x in LANGUAGES)})"
                  " t(ord, code, max_duration)",
     "tag_seeds": f"select * from (values {_values((x.ord, x.label, x.seed) for x in TAGS)}) t(ord, label, seed)",
-    "catalog_legacy": """select 'user'||(o_orderkey%50) owner,'v'||o_orderkey permlink,
+    "catalog_legacy": """select 'user'||(case when o_orderkey%8=0 then 0 else o_orderkey//8 end) owner,'v'||o_orderkey permlink,
  case o_orderkey%10 when 0 then null when 1 then '' when 2 then 'http://x/'||o_orderkey else 'ipfs://Qm'||o_orderkey end filename,
  case when o_orderkey%3=0 then 'ipfs://Hl'||o_orderkey||'/manifest.m3u8' end video_v2,
  case o_orderstatus when 'F' then 'published' when 'P' then 'scheduled' else 'draft' end status,
  case when o_orderstatus='P' and o_orderkey%4=0 then null else o_orderdate end created,
  o_orderdate+to_days(30) publish_data, cast(null as varchar) description from orders""",
-    "catalog_embed": """select 'user'||(doc_id%50) owner,'d'||doc_id permlink,
+    "catalog_embed": """select 'user'||(case when doc_id%8=0 then 0 else doc_id//8 end) owner,'d'||doc_id permlink,
  case when doc_id%13=0 then null when doc_id%17=0 then '' else 'Em'||doc_id end manifest_cid,
  case when doc_id%7=0 then 'draft' else 'published' end status,
  timestamp'1998-01-01 00:00:00'+to_days(cast(doc_id%1000 as int)) createdAt, text description, lang, source from documents""",
-    "catalog_audio": """select 'user'||(page_id%50) owner,'a'||page_id permlink,
+    "catalog_audio": """select 'user'||(case when page_id%8=0 then 0 else page_id//8 end) owner,'a'||page_id permlink,
  case when page_id%11=0 then null else 'Au'||page_id end audio_cid,
  case when page_id%7=0 then 'draft' else 'published' end status,
  timestamp'1999-01-01 00:00:00'+to_days(cast(page_id%500 as int)) createdAt from pages""",
@@ -69,7 +69,7 @@ VIEWS = {
     "planned": """select *, case when cid is null and hls_cid is null then 'skip' when video_type='embed' or hls_cid is not null then 'hls' else 'direct' end route,
   coalesce(hls_cid,cid) fetch_cid from resolved""",
     "words": r"""select author,permlink,word_idx,cast(word_idx//20 as bigint) raw_seg,' '||tok word,cast(word_idx as double)*cast(0.4 as double) start_s,
-  (cast(word_idx as double)+1)*cast(0.4 as double) end_s from (select 'user'||(doc_id%50) author,'d'||doc_id permlink,
+  (cast(word_idx as double)+1)*cast(0.4 as double) end_s from (select 'user'||(case when doc_id%8=0 then 0 else doc_id//8 end) author,'d'||doc_id permlink,
   unnest(range(len(toks))) word_idx, unnest(toks) tok from (select doc_id, list_filter(regexp_split_to_array(text,'\s+'), lambda x: x<>'') toks from documents))""",
     "word_marks": f"""select *, count(*) over (partition by author,permlink,raw_seg) n,
   coalesce(sum(case when regexp_matches(trim(word,{WS}),'[.!?]$') then 1 else 0 end) over (partition by author,permlink,raw_seg order by word_idx
@@ -82,7 +82,7 @@ VIEWS = {
   start_s,end_s,text, row_number() over (partition by author,permlink order by raw_seg,w0)-1 seg_idx from cue_groups where n<=8 or text<>''""",
     "durations": """select author,permlink,arg_max(end_s,seg_idx) duration_s, arg_max(end_s,seg_idx)/cast(60 as double) duration_min
   from cues group by all""",
-    "segments": """select 'user'||(conv_id%50) author,'c'||conv_id permlink,turn seg_idx,cast(turn as double)*5 start_s,
+    "segments": """select 'user'||(case when conv_id%8=0 then 0 else conv_id//8 end) author,'c'||conv_id permlink,turn seg_idx,cast(turn as double)*5 start_s,
  cast(turn as double)*5+least(cast(length(text) as double)/20,6) end_s,
  case when (conv_id+turn)%23=0 then '' else text end text from conversations""",
     "seg_durations": """select author,permlink,arg_max(end_s,seg_idx) duration_s, arg_max(end_s,seg_idx)/cast(60 as double) duration_min
@@ -92,7 +92,7 @@ VIEWS = {
   group by author,permlink""",
     "ev": "select *, event_id%10 op, cast(event_id//10 as bigint) n from events",
     "ev_item": """select *, case when n%4<2 then 'embed' when n%4=2 then 'audio' else 'legacy' end video_type,
- case when n%4<2 then n%150 when n%4=2 then n%40 else n%300 end item from ev""",
+ case when n%8=1 then 1 else n//4 end item from ev""",
     "subtitle_log": f"""select {_ITEM}, video_type, case event_type when 'click' then 'en' when 'view' then 'es' when 'purchase' then 'fr'
   when 'signup' then 'de' else 'pt' end "language", 'C'||item video_cid,'S'||event_id subtitle_cid,
   case when event_id%3<>0 then timestamp'1998-01-01 00:00:00'+to_days(cast(item%1000 as int)) end video_created_at, ts, event_id from ev_item where op<7""",
@@ -111,10 +111,10 @@ VIEWS = {
     "in_work": """select author,permlink,video_type in ('embed','audio') is_embed, video_type='audio' is_audio, ts started_at
   from (select * from status_log order by ts desc limit 1) where action='set'""",
     "tag_log": f"select {_ITEM}, event_type||','||'t'||(cast(floor(value) as bigint)%7) tags, ts from ev_item where op in (3,8)",
-    "blacklist": """select 'user'||(doc_id%50) author,'d'||doc_id permlink,
+    "blacklist": """select 'user'||(case when doc_id%8=0 then 0 else doc_id//8 end) author,'d'||doc_id permlink,
   timestamp'2024-01-01 00:00:00'+to_days(cast(doc_id%300 as int)) added_at from labels where toxic=1""",
-    "blacklist_authors": "select 'user'||c_custkey author from customer where c_custkey<50 and c_custkey%11=3",
-    "creators": "select 'user'||c_custkey author from customer where c_custkey<50 and c_custkey%9=1",
+    "blacklist_authors": "select 'user'||c_custkey author from customer where c_custkey%11=3",
+    "creators": "select 'user'||c_custkey author from customer where c_custkey%9=1",
     "fetch_attempts": """select author,permlink,ord,ok,size_bytes from (select owner author,permlink,g.ord,
   (cast(substring(permlink,2) as bigint)+g.ord)%3<>0 ok,
  case when cast(substring(permlink,2) as bigint)%10=9 then 0 else 1000+cast(substring(permlink,2) as bigint) end size_bytes

@@ -1,4 +1,3 @@
-import pytest
 from pyspark.sql import functions as F
 
 from mediacat.operators import languages as L
@@ -56,9 +55,18 @@ def test_equal_lines_are_translated_once(spark):
     assert done.count() == 6
 
 
-def test_wrong_answer_length_fails(spark):
-    with pytest.raises(Exception, match="texts to translate"):
-        X.translate_distinct(fanned(spark), lambda texts, s, t: texts[1:]).collect()
+def test_failures_reject_their_language_only(spark):
+    def choosy(texts, source, target):
+        if "other" in texts and target == "spa_Latn":
+            raise ValueError("no")
+        return texts[1:] if target == "fra_Latn" and len(texts) > 1 else [f"{target}:{x}" for x in texts]
+
+    rows = fanned(spark)
+    done = X.stored_translations(rows, choosy, partitions=2)
+    assert [(r.permlink, r.language, r.error) for r in X.rejects(rows, done).collect()] == [("short", "es", "ValueError: no")]
+    kept = X.with_translations(rows, done).collect()
+    assert sorted(r.language for r in kept) == ["en"] * 4 + ["fr"] * 4
+    assert all(r.text.startswith("fra_Latn:") for r in kept if r.language == "fr")
 
 
 def test_pairing_rejects_count_mismatch_per_language(spark):

@@ -31,11 +31,10 @@ def test_pages(spark, at):
     saved = videos(spark, at, 45)
     order = [f"p{i:03d}" for i in reversed(range(45))]
     for page, size, want, more in ((1, 20, order[:20], True), (3, 20, order[40:], False), (3, 15, order[30:], False), (9, 20, [], None)):
-        for shallow in (M.SHALLOW_ROWS, 0):
-            rows = M.processed_page(saved, page, size, shallow).orderBy("updated_at", ascending=False).collect()
-            assert [r.permlink for r in rows] == want
-            assert {r.has_more for r in rows} == ({more} if want else set())
-            assert {r.languages for r in rows} <= {"fr,en"}
+        rows = M.processed_page(saved, page, size).orderBy("updated_at", ascending=False).collect()
+        assert [r.permlink for r in rows] == want
+        assert {r.has_more for r in rows} == ({more} if want else set())
+        assert {r.languages for r in rows} <= {"fr,en"}
     assert M.processed_page(videos(spark, at, 130), 1, 500).count() == 100
 
 
@@ -56,7 +55,7 @@ def test_feed_limits_before_and_after_exclusion(spark, at):
     assert {r.permlink for r in got} == {f"{k}{i}" for k in ("embed", "audio") for i in range(10, 29)}
     assert {r.state for r in got} == {"prioritized"}
     assert {(r.permlink, r.is_embed, r.is_audio) for r in M.feed_pending(feed).where("section = 2").collect()} == {("audio29", True, True)}
-    assert M.feed_complete(feed).count() == 20 and M.feed_pending(feed).where("section = 1").count() == 1
+    assert feed.where("state = 'complete'").count() == 20 and M.feed_pending(feed).where("section = 1").count() == 1
     fresh = M.recent_pending(available, saved.where("false"), nothing, current.where("false"), creators.where("false"))
     assert fresh.count() == 50 and {r.state for r in fresh.collect()} == {"pending"}
 

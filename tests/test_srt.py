@@ -67,6 +67,26 @@ def test_files_hold_the_exact_text(spark, folder):
     assert {r.permlink: r.srt for r in read_srt(spark, folder).collect()} == want
 
 
+def test_a_second_pass_keeps_the_files_of_the_first(spark, folder):
+    rows = [("007", "0012", "en", "a\n\n"), ("1e3", "p", "en", "b\n\n")]
+    schema = "author string, permlink string, language string, srt string"
+    files.write_srt(spark.createDataFrame(rows, schema), folder)
+    files.write_srt(spark.createDataFrame([("1e3", "p", "en", "c\n\n")], schema), folder)
+    got = {(r.author, r.permlink): r.srt for r in read_srt(spark, folder).collect()}
+    assert got == {("007", "0012"): "a\n\n", ("1e3", "p"): "c\n\n"}
+    index = files.path_index(spark.createDataFrame(rows[:1], schema)).first()
+    assert (index.path, index.folder) == ("007/0012.en.srt", "author=007/permlink=0012/language=en")
+
+
+def test_line_ends_marks_and_junk(spark):
+    cues = "1\n00:00:00,000 --> 00:00:01,000\nx\n\n2\n00:00:01,000 --> 00:00:02,000\ny\n\n"
+    rows = [("u", "crlf", "en", cues.replace("\n", "\r\n")), ("u", "mark", "en", "\ufeff" + cues), ("u", "blank", "en", "\n\n" + cues), ("u", "junk", "en", "note\n\n" + cues)]
+    docs = spark.createDataFrame(rows, "author string, permlink string, language string, srt string")
+    got = {(r.permlink, r.cue_no, r.text) for r in srt.parse_documents(docs).collect()}
+    assert got == {(p, n, t) for p in ("crlf", "mark", "blank", "junk") for n, t in ((1, "x"), (2, "y"))}
+    assert [(r.permlink, r["at"], r.piece) for r in srt.unparsed(docs).collect()] == [("junk", 0, "note")]
+
+
 def test_equal_texts_share_an_id(spark):
     import hashlib
 

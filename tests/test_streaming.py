@@ -106,15 +106,17 @@ def test_open_work_takes_late_rows(spark, folder):
     assert run() == {"p0", "p2", "p3", "old"}
 
 
-def test_requested_items_go_ahead_in_each_batch(spark, folder, at):
+def test_requested_items_go_ahead_over_all_batches(spark, folder, at):
     requests = spark.createDataFrame([("u", "b", at(2)), ("u", "a", at(3)), ("u", "no", at(1))], "author string, permlink string, requested_at timestamp_ntz")
-    put(requests, folder, "r")
+    for i in range(3):
+        put(requests.offset(i).limit(1), folder, f"r{i}")
     videos = spark.createDataFrame(
         [("u", p, "embed", "published", at(i)) for i, p in enumerate("cab")],
         "author string, permlink string, video_type string, status string, created_at timestamp_ntz",
     )
     creators = spark.createDataFrame([("x",)], "author string")
-    stream = jobs.read_stream(spark, f"{folder}/in/*", requests.schema)
+    stream = jobs.read_stream(spark, f"{folder}/in/*", requests.schema, files_per_batch=1)
     rows = jobs.prioritised_work(stream, videos, videos, creators, f"{folder}/w").collect()
     assert sorted((r.bucket, r.permlink) for r in rows) == [(0, "a"), (0, "b"), (1, "c")]
-    assert [r.permlink for r in sorted((r for r in rows if r.bucket == 0), key=lambda r: r.requested_at)] == ["b", "a"]
+    assert [r.permlink for r in sorted(rows, key=lambda r: r.position)] == ["b", "a", "c"]
+    assert [r.position for r in sorted(rows, key=lambda r: r.position)] == [1, 2, 3]

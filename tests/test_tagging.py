@@ -38,6 +38,19 @@ def test_hook_equals_builtin_scorer_and_skips_missing_text(spark):
     assert built_in == hooked
 
 
+def test_failing_scores_are_failed_tags(spark):
+    df = spark.createDataFrame([("good",), ("bad",), ("short",), (None,)], "tag_text string")
+
+    def score(texts, labels):
+        if "bad" in texts:
+            raise ValueError("no")
+        return [[0.5] if t == "short" else [0.1, 0.9] for t in texts]
+
+    for batch in (1, 10):
+        rows = G.select_tags(G.scored_by_hook(df, score, ["x", "y"], batch=batch)).collect()
+        assert [(r.reason, r.tags[0]) for r in rows] == [("scored", "y"), ("failed", "general"), ("failed", "general"), ("no_text", "vlog")]
+
+
 def test_score_rows(spark):
     rows = spark.createDataFrame([("k", "a", 0.1), ("k", "a", 0.4), ("k", "b", 0.2)], "key string, label string, score double")
     got = G.scores_from_rows(rows, ["key"]).select(G.score_map("scores").alias("m")).first().m
