@@ -133,12 +133,13 @@ def test_each_token_is_scored_once_and_folding_changes_nothing():
     ids = np.arange(3, 203, dtype=np.int32)
     bounds = np.array([0, 1, 33, 33 + 32, 200])
     seen = np.zeros(200, int)
-    for own, inputs, targets, real in lm.windows(ids, bounds, 3):
-        for k, t in zip(*np.nonzero(real)):
-            seen[targets[k, t] - 3] += 1
-            at = targets[k, t] - 3
-            assert inputs[k, t] == (lm.BOS if at in bounds else ids[at - 1])
+    for own, at, real in lm.windows(bounds, 3):
+        seen += np.bincount(at[real], minlength=200)
+        assert ((at >= bounds[own][:, None]) & (at < bounds[own + 1][:, None])).all()
     assert (seen == 1).all()
+    assert [lm.before_each(ids, bounds)[k] for k in (0, 1, 2, 33, 199)] == [lm.BOS, lm.BOS, ids[1], lm.BOS, ids[198]]
+    codes = np.array([0, 1, 70_000, 2**30], np.int32)
+    assert lm.from_planes(lm.planes(codes)).tolist() == codes.tolist() and len(lm.from_planes(b"")) == 0
     weights = lm.first_weights(np.linspace(-3, 0, lm.CLASSES).astype(np.float32))
     inputs, targets = np.arange(2 * lm.WINDOW).reshape(2, -1), np.arange(2 * lm.WINDOW).reshape(2, -1)
     plain, _ = lm.class_logs(weights, lm.attend(weights, inputs)[0], targets)
@@ -159,8 +160,10 @@ def test_training_learns_from_context():
 
     def parts():
         ids = text(20_000)
-        for _, inputs, targets, real in lm.windows(ids, np.array([0, len(ids)]), 16):
-            yield vocabulary.bucket[inputs], vocabulary.classes[targets], real
+        bounds = np.array([0, len(ids)])
+        before = lm.before_each(ids, bounds)
+        for _, at, real in lm.windows(bounds, 16):
+            yield vocabulary.bucket[before[at]], vocabulary.classes[ids[at]], real
 
     held = text(2000)
     before = lm.text_scores(weights, vocabulary, held, np.array([0, 2000]))
