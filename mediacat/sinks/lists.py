@@ -85,6 +85,17 @@ def enqueue(
     )
 
 
+def current_queue(requests: DataFrame, taken: DataFrame) -> DataFrame:
+    """The queue that enqueue events (``requested_at``) and dequeue events (``taken_at``) leave.
+
+    An entry is the earliest request after its key was last taken, so a key may be asked
+    for again, and events may come in any order.
+    """
+    last = taken.groupBy(*KEY).agg(F.max("taken_at").alias("_taken"))
+    waiting = requests.join(last, KEY, "left").where(F.col("_taken").isNull() | (F.col("requested_at") > F.col("_taken")))
+    return waiting.groupBy(*KEY).agg(F.min("requested_at").alias("requested_at"))
+
+
 def pop_oldest(queue: DataFrame) -> DataFrame:
     """The one entry a worker takes next."""
     return queue.orderBy("requested_at", *KEY).limit(1)

@@ -49,6 +49,17 @@ def fold(rows: DataFrame) -> DataFrame:
     )
 
 
+def after_deletions(saves: DataFrame, deletions: DataFrame) -> DataFrame:
+    """Saves (rows of :func:`as_state`) that no later deletion of their video has undone.
+
+    ``deletions`` are events (author, permlink, ts, event_id). A record that is deleted and
+    saved again is a new one: its first save is the first after the deletion.
+    """
+    newest = deletions.groupBy(*KEY).agg(F.max(F.struct("ts", "event_id")).alias("_gone"))
+    at = F.struct(F.col("created_at").alias("ts"), F.col("created_seq").alias("event_id"))
+    return saves.join(newest, KEY, "left").where(F.col("_gone").isNull() | (at > F.col("_gone"))).drop("_gone")
+
+
 def headers(state: DataFrame) -> DataFrame:
     """One row per video from folded rows.
 

@@ -154,3 +154,24 @@ def _reprocess(spark, sf_dir):
     t = Inputs(spark, sf_dir)
     asked = t.run_log.where("outcome = 'failed'").selectExpr(*KEY, "ts requested_at")
     return lists.reprocess(asked, t.state, subtitles.fold_tags(t.tag_log), t.queue)
+
+
+@query("""select author, permlink, l."language", arg_max(subtitle_cid,l.ts) subtitle_cid, max(l.ts) updated_at, min(l.ts) created_at
+  from subtitle_log l left join (select author, permlink, max(ts) gone from run_log where outcome='failed' group by all) d using (author, permlink)
+  where gone is null or l.ts>gone group by all""")
+def reprocess_then_save(spark, sf_dir):
+    """State after deletions in the log: what was saved before one does not come back."""
+    t = Inputs(spark, sf_dir)
+    deletions = t.run_log.where("outcome = 'failed'").select(*KEY, "ts", "event_id")
+    rows = subtitles.fold(subtitles.after_deletions(subtitles.as_state(t.subtitle_log), deletions))
+    return rows.select(*KEY, "language", "subtitle_cid", "updated_at", "created_at")
+
+
+@query("""select author, permlink, min(requested_at) requested_at from queue_log left join
+  (select author, permlink, max(ts) taken from run_log where source='queue' group by all) using (author, permlink)
+  where taken is null or requested_at>taken group by author, permlink""")
+def queue_current(spark, sf_dir):
+    """Queue after enqueue and dequeue events; taken keys may be asked for again."""
+    t = Inputs(spark, sf_dir)
+    taken = t.run_log.where("source = 'queue'").select(*KEY, F.col("ts").alias("taken_at"))
+    return lists.current_queue(t.queue_log, taken)

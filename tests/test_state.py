@@ -167,3 +167,17 @@ def test_bucketed_tables_join_in_place(spark, folder, at, capsys):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         for name in ("left_side", "right_side"):
             spark.sql(f"drop table {name}")
+
+
+def test_a_deletion_is_not_undone_by_the_log(spark, at):
+    rows = [("u", "v", "embed", lang, "c", f"s{i}", None, at(i), i) for i, lang in enumerate(["en", "es", "en"])] + [("u", "w", "embed", "en", "c", "x", None, at(0), 9)]
+    saves = B.as_state(spark.createDataFrame(rows, schemas.SUBTITLE_LOG))
+    deletions = spark.createDataFrame([("u", "v", at(0), 0), ("u", "v", at(1), 1)], "author string, permlink string, ts timestamp_ntz, event_id bigint")
+    got = {(r.permlink, r.language): (r.subtitle_cid, r.created_at) for r in B.fold(B.after_deletions(saves, deletions)).collect()}
+    assert got == {("v", "en"): ("s2", at(2)), ("w", "en"): ("x", at(0))}
+
+
+def test_taken_keys_can_be_asked_for_again(spark, at):
+    requests = spark.createDataFrame([("u", "a", at(1)), ("u", "a", at(5)), ("u", "a", at(4)), ("u", "b", at(1)), ("u", "c", at(2))], "author string, permlink string, requested_at timestamp_ntz")
+    taken = spark.createDataFrame([("u", "a", at(3)), ("u", "b", at(2)), ("u", "z", at(2))], "author string, permlink string, taken_at timestamp_ntz")
+    assert {(r.permlink, r.requested_at) for r in lists.current_queue(requests, taken).collect()} == {("a", at(4)), ("c", at(2))}
