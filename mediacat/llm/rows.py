@@ -22,7 +22,7 @@ def appended(docs: DataFrame, text: str, ddl: str, begin: Callable[[], Measure],
     ``keep`` names the columns that stay (all of them by default); a new column takes the
     place of one with the same name.
     """
-    new = T.StructType.fromDDL(ddl) if hasattr(T.StructType, "fromDDL") else T._parse_datatype_string(ddl)
+    new = T.StructType.fromDDL(ddl)
     taken = {f.name.lower() for f in new}
     names = [c for c in (docs.columns if keep is None else keep) if c.lower() not in taken]
     kept = docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text}`").alias("__text"))
