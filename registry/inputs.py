@@ -159,9 +159,8 @@ class Inputs:
     @cached_property
     def fetch_attempts(self) -> DataFrame:
         return (
-            self.embed.where("manifest_cid <> ''")
-            .selectExpr("owner author", "permlink", "cast(substring(permlink, 2) as bigint) k",
-                        "explode(array(0, 1)) ord")
+            self.catalogs.selectExpr("author", "permlink", "cast(substring(permlink, 2) as bigint) k",
+                                     "explode(array(0, 1)) ord")
             .selectExpr("author", "permlink", "ord", "(k + ord) % 3 <> 0 ok",
                         "case when k % 10 = 9 then 0 else 1000 + k end size_bytes")
         )

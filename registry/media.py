@@ -19,13 +19,13 @@ def candidate_urls(spark, sf_dir):
     return media.candidate_urls(fetch_plan(Inputs(spark, sf_dir).catalogs), GATEWAYS)
 
 
-@query(f"""select i.author, i.permlink, ord gateway_ord, base||fetch_cid||'/manifest.m3u8' url from (select * from planned where video_type='embed' and route<>'skip') i
-  left join (select author, permlink, min(ord) ord from fetch_attempts where ok and size_bytes>0 group by all) s
-   on i.author=s.author and i.permlink=s.permlink left join {G} using (ord)""")
+@query(f"""select i.author, i.permlink, ord gateway_ord, base||fetch_cid||case when route='hls' then '/manifest.m3u8' else '' end url
+  from (select * from planned where route<>'skip') i left join (select author, permlink, min(ord) filter (where ok) any_ord,
+   min(ord) filter (where ok and size_bytes>0) filled_ord from fetch_attempts group by all) s
+   on i.author=s.author and i.permlink=s.permlink left join {G} on ord = case when route='hls' then filled_ord else any_ord end""")
 def first_success_source(spark, sf_dir):
     t = Inputs(spark, sf_dir)
-    items = fetch_plan(t.catalogs).where((F.col("video_type") == "embed") & (F.col("route") != "skip"))
-    return media.first_success(items, t.fetch_attempts, GATEWAYS)
+    return media.first_success(fetch_plan(t.catalogs).where(F.col("route") != "skip"), t.fetch_attempts, GATEWAYS)
 
 
 @query("""select event_id, coalesce(try_cast(json_extract_string(probe,'$.format.duration') as double),0) duration,

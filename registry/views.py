@@ -115,10 +115,10 @@ VIEWS = {
   timestamp'2024-01-01 00:00:00'+to_days(cast(doc_id%300 as int)) added_at from labels where toxic=1""",
     "blacklist_authors": "select 'user'||c_custkey author from customer where c_custkey%11=3",
     "creators": "select 'user'||c_custkey author from customer where c_custkey%9=1",
-    "fetch_attempts": """select author,permlink,ord,ok,size_bytes from (select owner author,permlink,g.ord,
+    "fetch_attempts": """select author,permlink,ord,ok,size_bytes from (select author,permlink,g.ord,
   (cast(substring(permlink,2) as bigint)+g.ord)%3<>0 ok,
  case when cast(substring(permlink,2) as bigint)%10=9 then 0 else 1000+cast(substring(permlink,2) as bigint) end size_bytes
- from catalog_embed cross join (select 0 ord union all select 1 ord) g where manifest_cid<>'')""",
+ from catalogs cross join (select 0 ord union all select 1 ord) g)""",
     "media_probe": """select event_id, '{"streams":['||case when event_id%3<>0 then '{"codec_type":"video","codec_name":"h264"}' else '' end||case when event_id%3=1 then ',' else '' end||
  case when event_id%3<>2 then '{"codec_type":"audio","codec_name":"aac"}' else '' end||'],"format":{'||case when event_id%5<>0 then '"duration":"'||event_id||'.5",' else '' end||'"size":"'||(event_id*10)||'"}}' probe from events""",
 }
