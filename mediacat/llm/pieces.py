@@ -34,6 +34,8 @@ from .words import text_bytes
 MARK = "▁"
 # A piece that is not in the model costs this much more than the rarest one (fixed value of the library).
 UNKNOWN_COST = 10.0
+# Bytes of text that share a trie: the larger, the fewer words are encoded again.
+SLICE = 12 << 20
 
 
 @dataclass
@@ -245,7 +247,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | Non
 
         return measure
 
-    return appended(docs, text, "n_pieces long, piece_ids array<int>", begin, keep)
+    return appended(docs, text, "n_pieces long, piece_ids array<int>", begin, keep, SLICE)
 
 
 def decode(rows: DataFrame, path: str, ids: str = "piece_ids", text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -283,4 +285,4 @@ def round_trip(docs: DataFrame, path: str, text: str = "text", keep: list[str] |
 
         return measure
 
-    return appended(docs, text, "n_pieces long, ids_sha256 string, restored boolean", begin, keep)
+    return appended(docs, text, "n_pieces long, ids_sha256 string, restored boolean", begin, keep, SLICE)
