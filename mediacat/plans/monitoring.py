@@ -94,10 +94,18 @@ def run_summary(run_log: DataFrame) -> DataFrame:
     )
 
 
+def _run_facts(rows: DataFrame) -> list[Column]:
+    """Processing time and length of an item, where its rows carry them (see ``with_processing_times``)."""
+    return [
+        (F.col(c) if c in rows.columns else F.lit(None)).cast("int").alias(c)
+        for c in ("processing_seconds", "video_duration_seconds")
+    ]
+
+
 def _feed_row(rows: DataFrame, state, languages, lang_count, display_date: str) -> DataFrame:
     return rows.select(
         *KEY, state.alias("state"), "is_embed", "is_audio", languages.alias("languages"),
-        lang_count.cast("bigint").alias("lang_count"), F.col(display_date).alias("display_date"),
+        lang_count.cast("bigint").alias("lang_count"), F.col(display_date).alias("display_date"), *_run_facts(rows),
     )
 
 
@@ -200,5 +208,5 @@ def processed_page(
         F.lit(page).alias("page"), *KEY, "is_embed", "is_audio", F.array_join("languages", ",").alias("languages"),
         iso(F.col("created_at")).alias("created_at"), iso(F.col("updated_at")).alias("updated_at"),
         iso(F.col("video_created_at")).alias("video_created_at"),
-        iso(display_date()).alias("display_date"), "has_more",
+        iso(display_date()).alias("display_date"), "has_more", *_run_facts(rows),
     )

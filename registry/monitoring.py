@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from mediacat.plans import monitoring as M
-from mediacat.sinks.subtitles import current_status
+from mediacat.sinks.subtitles import current_status, with_processing_times
 from mediacat.sources.catalog import available as published
 
 from . import query
@@ -29,14 +29,20 @@ RECENT = """(select * from (select author, permlink, video_type, cat, created_at
  union all select * from (select author, permlink, video_type, cat, created_at from available where video_type='embed' order by created_at desc, author, permlink limit 20)
  union all select * from (select author, permlink, video_type, cat, created_at from available where video_type='audio' order by created_at desc, author, permlink limit 20))"""
 PENDING = f"""(select author, permlink, case when author in (select author from creators) then 'prioritized' else 'pending' end state,
-  video_type in ('embed','audio') is_embed, video_type='audio' is_audio, '' languages, 0::bigint lang_count, created_at display_date from {RECENT}
+  video_type in ('embed','audio') is_embed, video_type='audio' is_audio, '' languages, 0::bigint lang_count, created_at display_date,
+  null::int processing_seconds, null::int video_duration_seconds from {RECENT}
   where (author,permlink) not in (select (author,permlink) from videos) and (author,permlink) not in (select (author,permlink) from queue_log)
   and (author,permlink) not in (select (author,permlink) from in_work) order by created_at desc, cat, author, permlink limit 50)"""
-COMPLETED = """(select v.author, v.permlink, 'complete' state, is_embed, is_audio, languages, lang_count, coalesce(updated_at,created_at) display_date
-  from (select * from videos order by updated_at desc, author, permlink limit 50) v join lang_lists l on v.author=l.author and v.permlink=l.permlink)"""
-FEED = f"""(select 1 section, author, permlink, 'processing' state, is_embed, is_audio, '' languages, 0 lang_count, started_at display_date from in_work
+RAN = """(select author, permlink, arg_max(processing_seconds,ts) processing_seconds,
+  arg_max(video_duration_seconds,ts) filter (video_duration_seconds<>0) video_duration_seconds from run_log where outcome='success' group by all)"""
+COMPLETED = f"""(select v.author, v.permlink, 'complete' state, is_embed, is_audio, languages, lang_count, coalesce(updated_at,created_at) display_date,
+  processing_seconds, video_duration_seconds
+  from (select * from videos order by updated_at desc, author, permlink limit 50) v join lang_lists l on v.author=l.author and v.permlink=l.permlink
+  left join {RAN} r on v.author=r.author and v.permlink=r.permlink)"""
+FEED = f"""(select 1 section, author, permlink, 'processing' state, is_embed, is_audio, '' languages, 0 lang_count, started_at display_date,
+   null::int processing_seconds, null::int video_duration_seconds from in_work
  union all select 2, author, permlink, 'prioritized', (author,permlink) in (select (owner,permlink) from catalog_embed)
-   or (author,permlink) in (select (owner,permlink) from catalog_audio), (author,permlink) in (select (owner,permlink) from catalog_audio), '', 0, requested_at from queue
+   or (author,permlink) in (select (owner,permlink) from catalog_audio), (author,permlink) in (select (owner,permlink) from catalog_audio), '', 0, requested_at, null, null from queue
  union all select 3, * from {COMPLETED} union all select 4, * from {PENDING})"""
 PAGE_COLUMNS = "author, permlink, is_embed, is_audio, languages, created_at, updated_at, video_created_at, display_date, has_more"
 
@@ -49,16 +55,22 @@ def iso(c):
 def page_sql(page, size):
     skip = (page - 1) * size
     return f"""select {page} page, v.author, v.permlink, is_embed, is_audio, languages, {iso('created_at')}, {iso('updated_at')}, {iso('video_created_at')},
-  {iso('display_date')}, {skip}+count(*) over () < total has_more from (select *, updated_at display_date, count(*) over () total from videos
-  order by updated_at desc, author, permlink limit {size} offset {skip}) v join lang_lists l on v.author=l.author and v.permlink=l.permlink"""
+  {iso('display_date')}, {skip}+count(*) over () < total has_more, processing_seconds, video_duration_seconds from (select *, updated_at display_date, count(*) over () total from videos
+  order by updated_at desc, author, permlink limit {size} offset {skip}) v join lang_lists l on v.author=l.author and v.permlink=l.permlink
+  left join {RAN} r on v.author=r.author and v.permlink=r.permlink"""
 
 
 def available(t: Inputs):
     return published(t.legacy, t.embed, t.audio, START)
 
 
+def finished(t: Inputs):
+    """Videos with the processing time and length of their last successful run."""
+    return with_processing_times(t.videos, t.run_log.where("outcome = 'success'"))
+
+
 def feed(t: Inputs):
-    return M.activity_feed(available(t), t.catalogs, t.videos, t.queue, current_status(t.status_log), t.creators)
+    return M.activity_feed(available(t), t.catalogs, finished(t), t.queue, current_status(t.status_log), t.creators)
 
 
 @query(f"select * from {STATS}")
@@ -106,7 +118,7 @@ def processed_since(spark, sf_dir):
 
 @query(f"select * from {COMPLETED}")
 def recent_completed(spark, sf_dir):
-    return M.recent_completed(Inputs(spark, sf_dir).videos)
+    return M.recent_completed(finished(Inputs(spark, sf_dir)))
 
 
 @query(f"select * from {PENDING}")
@@ -132,18 +144,18 @@ def feed_pending(spark, sf_dir):
 
 @query(f"select * from {FEED} where state='complete'")
 def feed_complete(spark, sf_dir):
-    return M.feed_complete(Inputs(spark, sf_dir).videos)
+    return M.feed_complete(finished(Inputs(spark, sf_dir)))
 
 
 @query(page_sql(2, 50))
 def processed_page(spark, sf_dir):
-    return M.processed_page(Inputs(spark, sf_dir).videos, page=2, per_page=50)
+    return M.processed_page(finished(Inputs(spark, sf_dir)), page=2, per_page=50)
 
 
 @query(page_sql(3, 100))
 def processed_page_deep(spark, sf_dir):
     """The path of deep pages: cut by row positions. Page size is held at its maximum."""
-    return M.processed_page(Inputs(spark, sf_dir).videos, page=3, per_page=500)
+    return M.processed_page(finished(Inputs(spark, sf_dir)), page=3, per_page=500)
 
 
 @query("""select count(*) total, count_if(outcome='success')::bigint successful, count_if(outcome='failed')::bigint failed from run_log where source='batch'""")
