@@ -84,12 +84,12 @@ class Words:
         at = pa.py_buffer(self.at.astype(np.int32))
         return pa.Array.from_buffers(pa.binary(), self.n, [None, at, pa.py_buffer(self.data)]).dictionary_encode()
 
-    @property
+    @cached_property
     def codes(self) -> np.ndarray:
         """A number for each word, equal for equal words of the slice."""
         return self.encoded.indices.to_numpy(zero_copy_only=False)
 
-    @property
+    @cached_property
     def vocabulary(self) -> list[bytes]:
         """The word of each number."""
         return self.encoded.dictionary.to_pylist()
