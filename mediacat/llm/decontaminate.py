@@ -249,7 +249,9 @@ def clean(found: DataFrame, text: str = "text", max_span: int = MAX_SPAN, max_co
         for batch in batches:
             spans = [[(s["first"], s["last"]) for s in x] for x in batch.column(spans_at).to_pylist()]
             if any(spans):
-                batch = batch.set_column(at, text, pa.array(without_spans(batch.column(at), spans), pa.string()))
+                held = batch.column(at)
+                cut = [without_spans(held.slice(i, 1), [s])[0] if s else held[i].as_py() for i, s in enumerate(spans)]
+                batch = batch.set_column(at, text, pa.array(cut, pa.string()))
             yield pa.RecordBatch.from_arrays(batch.columns, columns)
 
     return rest.mapInArrow(run, rest.schema)

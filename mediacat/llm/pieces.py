@@ -235,8 +235,9 @@ def decode_texts(model: Model, ids: pa.ListArray) -> pa.Array:
     return pa.Array.from_buffers(pa.string(), len(counts), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)])
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None, kind: str = "bpe") -> DataFrame:
-    """Rows of ``docs`` with ``n_pieces`` and ``piece_ids``."""
+def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None, kind: str = "bpe",
+           slice_bytes: int = SLICE) -> DataFrame:
+    """Rows of ``docs`` with ``n_pieces`` and ``piece_ids``; ``slice_bytes`` of text share a trie."""
 
     def begin():
         held = load(path, kind)
@@ -247,7 +248,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | Non
 
         return measure
 
-    return appended(docs, text, "n_pieces long, piece_ids array<int>", begin, keep, SLICE)
+    return appended(docs, text, "n_pieces long, piece_ids array<int>", begin, keep, slice_bytes)
 
 
 def decode(rows: DataFrame, path: str, ids: str = "piece_ids", text: str = "text", keep: list[str] | None = None) -> DataFrame:

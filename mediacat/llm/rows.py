@@ -40,5 +40,6 @@ def appended(docs: DataFrame, text: str, ddl: str, begin: Callable[[], Measure],
             for rows in text_slices(batch, batch.schema.names[at], limit):
                 columns = [rows.column(i) for i in range(n)] + measure(rows.column(at))
                 yield pa.RecordBatch.from_arrays(columns, labels)
+            pa.default_memory_pool().release_unused()
 
     return kept.mapInArrow(run, schema)
