@@ -77,3 +77,11 @@ def test_passages_are_found_and_nothing_else(spark):
         assert all(a <= 70 + i and b >= 70 + i + 59 and b - a <= 62 for a, b in found[i])
     assert found[20] == [(90, 209)] and found[21] == [(0, 119)] and found[60] == [(0, 199)]
     assert passages.repeated_passages(docs.limit(0)).collect() == []
+
+
+def test_every_holder_of_a_short_passage_is_found(spark):
+    shared = words(5, 50)
+    rows = [(i, " ".join(words(1000 + i, 90) + shared + words(2000 + i, 90))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(60)
+    found = {r.doc_id for r in passages.repeated_passages(docs).collect() if r.first_word <= 90 and r.last_word >= 139}
+    assert found == set(range(60))
