@@ -47,3 +47,19 @@ def test_nothing_in(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).collect() == []
+
+
+def edited(seed, n, edits):
+    words = [f"w{seed}_{i}" for i in range(n)]
+    for k in range(edits):
+        words[(2 * k + 1) * n // (2 * edits)] = f"edit{seed}_{k}"
+    return " ".join(words)
+
+
+def test_near_dedup_links_by_five_words_at_four_fifths(spark):
+    """200 words are 196 shingles; four edits far apart leave 176 of 216 (0.81), five 171 of 221 (0.77)."""
+    rows = [(10 * s + k, edited(s, 200, k * 4), "a") for s in range(1, 9) for k in (0, 1)]
+    rows += [(10 * s + k, edited(s, 200, k * 5), "a") for s in range(11, 19) for k in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, SF).collect())
+    assert kept == sorted([10 * s for s in range(1, 9)] + [10 * s + k for s in range(11, 19) for k in (0, 1)])
