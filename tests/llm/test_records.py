@@ -85,3 +85,25 @@ def test_every_holder_of_a_short_passage_is_found(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(60)
     found = {r.doc_id for r in passages.repeated_passages(docs).collect() if r.first_word <= 90 and r.last_word >= 139}
     assert found == set(range(60))
+
+
+@pytest.mark.parametrize("tasks", [1, 110])
+def test_others_between_two_holders_do_not_part_them(spark, tasks):
+    rows = []
+    for p in range(6):
+        shared, names = words(300 + p, 50), [1000 * p + 7, 1000 * p + 77]
+        for d in range(1000 * p, 1000 * p + 100):
+            held = shared if d in names else shared[:40] if d % 2 else shared[10:]
+            rows.append((d, " ".join(words(10_000 + 2 * d, 60) + held + words(10_001 + 2 * d, 60))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(tasks)
+    found = passages.repeated_passages(docs).collect()
+    assert {r.doc_id for r in found} == {1000 * p + k for p in range(6) for k in (7, 77)}
+    assert len({r.class_id for r in found}) == 6
+
+
+def test_links_count_the_holders_of_a_class(spark):
+    rows = [(100 * p + i, " ".join(words(100 * p + i + 5000, 60) + words(400 + p, 60) + words(100 * p + i + 7000, 60)))
+            for p in range(3) for i in range(10 + p)]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in found} == {d for d, _ in rows} and all(r.n_links == 9 + r.doc_id // 100 for r in found)
+    assert len({(r.class_id, r.doc_id // 100) for r in found}) == 3
