@@ -170,3 +170,12 @@ def test_training_learns_from_context():
     lm.train_copy(weights, parts())
     after = lm.text_scores(weights, vocabulary, held, np.array([0, 2000]))
     assert after[0] > before[0] / 2
+
+
+def test_all_training_documents_are_learned_from(spark):
+    """Documents that a sample of one in 32 by the id's hash would leave out, and rows without an id."""
+    ids = spark.range(400).where("pmod(xxhash64(id), 32) <> 0 and crc32(cast(cast(id as string) as binary)) % 5 <> 1").limit(60)
+    text = "repeat('one two three four five ', 400)"
+    for docs in (ids.selectExpr("id as doc_id", f"{text} as text"), ids.selectExpr("cast(null as long) as doc_id", f"{text} as text")):
+        got = lm.score(docs, PATH).collect()
+        assert len(got) == 60 and all(r.score / r.n_tokens > -0.5 for r in got)  # a unigram model has -0.7
