@@ -179,3 +179,8 @@ def test_all_training_documents_are_learned_from(spark):
     for docs in (ids.selectExpr("id as doc_id", f"{text} as text"), ids.selectExpr("cast(null as long) as doc_id", f"{text} as text")):
         got = lm.score(docs, PATH).collect()
         assert len(got) == 60 and all(r.score / r.n_tokens > -0.5 for r in got)  # a unigram model has -0.7
+
+
+def test_scored_tokens_see_a_quarter_of_a_window():
+    for own, at, real in lm.windows(np.array([0, 500]), 100):
+        assert real[1:, :8].sum() == 0 and real[1:-1, 8:].all()
