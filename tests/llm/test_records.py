@@ -5,6 +5,7 @@ import random
 from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 from mediacat.llm import passages, warc
@@ -107,3 +108,21 @@ def test_links_count_the_holders_of_a_class(spark):
     found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id for r in found} == {d for d, _ in rows} and all(r.n_links == 9 + r.doc_id // 100 for r in found)
     assert len({(r.class_id, r.doc_id // 100) for r in found}) == 3
+
+
+@pytest.mark.parametrize("seeded", [0, -1])
+def test_a_passage_is_followed_over_an_inserted_word(seeded):
+    """One half was met; the other one is on the next diagonal."""
+    a = np.arange(1000, 1080)
+    b = np.concatenate([a[:40], [7], a[40:]])
+    assert [x[:4] for x in passages.chains(a, b, [seeded], 50, 0.8)] == [(0, 79, 0, 80)]
+
+
+def test_more_open_chains_than_eight_are_kept():
+    """Between two halves of a passage ten other runs begin."""
+    a = np.arange(1000, 1100)
+    b = np.concatenate([a[:30], [1], a[31:]])
+    far = np.concatenate([np.concatenate([-np.arange(100 * k + 1, 100 * k + 21), a[18 + k : 25 + k]]) for k in range(10)])
+    other = np.concatenate([b, far])
+    diagonals = list(range(-len(other), len(a)))
+    assert (0, 99, 0, 99) in [x[:4] for x in passages.chains(a, other, diagonals, 50, 0.8)]
