@@ -36,14 +36,22 @@ DATE = "2024-01-01T00:00:00Z"
 
 
 def segments(payload: memoryview | bytes, chunk: int) -> list[tuple[int, int]]:
-    """First and end byte of each segment: no longer than ``chunk``, and none holds the version line."""
+    """First and end byte of each segment: no longer than ``chunk``, and none holds the version line or ends in the version."""
     raw, mark = bytes(payload), VERSION.encode()
     cuts, at = [0], raw.find(mark)
     while at >= 0:
         cuts.append(at + 1)
         at = raw.find(mark, at + 1)
     cuts.append(len(raw))
-    return [(a, min(a + chunk, end)) for start, end in zip(cuts, cuts[1:]) for a in range(start, end, chunk)] or [(0, 0)]
+    spans = [(a, min(a + chunk, end)) for start, end in zip(cuts, cuts[1:]) for a in range(start, end, chunk)]
+    out = []
+    for a, b in spans:
+        # The record's closing line would complete a version at the end.
+        if raw[a:b].endswith(mark[:-2]):
+            out.append((a, b - 1))
+            a = b - 1
+        out.append((a, b))
+    return out or [(0, 0)]
 
 
 def record(kind: str, page: int, digest: str, length: int, url: str | None, payload: bytes, segment: int = 1,

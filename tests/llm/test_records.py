@@ -126,3 +126,10 @@ def test_more_open_chains_than_eight_are_kept():
     other = np.concatenate([b, far])
     diagonals = list(range(-len(other), len(a)))
     assert (0, 99, 0, 99) in [x[:4] for x in passages.chains(a, other, diagonals, 50, 0.8)]
+
+
+@pytest.mark.parametrize("html", ["page WARC/1.1", "WARC/1.1", "x" * 92 + "WARC/1.1" + "y" * 50])
+def test_a_segment_that_ends_in_the_version(spark, folder, html):
+    pages = spark.createDataFrame([(1, "u", html, 0), (2, "u", html, 0)], SCHEMA)
+    got = {r.page_id: (r.payload_bytes, r.payload_digest) for r in warc.archived(pages, 100, f"{folder}/w").collect()}
+    assert got == {1: (len(html), sha(html)), 2: (len(html), sha(html))}
