@@ -63,3 +63,12 @@ def test_near_dedup_links_by_five_words_at_four_fifths(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     kept = sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, SF).collect())
     assert kept == sorted([10 * s for s in range(1, 9)] + [10 * s + k for s in range(11, 19) for k in (0, 1)])
+
+
+def test_near_dedup_keeps_one_row_of_each_group(spark):
+    """Rows without an id stay if they are no copy; repeated rows are copies of each other."""
+    rows = [(None, edited(1, 100, 0), "a"), (None, edited(2, 100, 0), "a"), (7, edited(2, 100, 0), "a"),
+            (8, edited(3, 100, 0), "a"), (8, edited(3, 100, 0), "a"), (None, edited(4, 100, 0), "a"), (None, edited(4, 100, 0), "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = sorted(((r.doc_id or -1, r.text[:3]) for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()))
+    assert kept == [(-1, "w1_"), (-1, "w4_"), (7, "w2_"), (8, "w3_")]
