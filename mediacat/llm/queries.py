@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import decontaminate, infill, language, line_dedup, lm, passages, pieces, quality, simhash, token_counts, warc
+from . import decontaminate, infill, language, line_dedup, lm, packing, passages, pieces, quality, simhash, token_counts, warc
 from .tables import table
 
 QUERIES: dict[str, Callable] = {}
@@ -93,6 +93,13 @@ def op12_fill_in_middle(spark, sf_dir):
     return infill.transform(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op13_best_fit_packing(spark, sf_dir):
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
