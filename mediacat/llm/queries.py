@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import decontaminate, infill, language, line_dedup, lm, packing, passages, pieces, quality, simhash, token_counts, warc
+from . import conversations, decontaminate, infill, language, line_dedup, lm, packing, passages, pieces, quality, simhash, token_counts, warc
 from .tables import table
 
 QUERIES: dict[str, Callable] = {}
@@ -88,6 +88,11 @@ def op10_benchmark_decontamination(spark, sf_dir):
     )
 
 
+@query()
+def op11_conversation_repair(spark, sf_dir):
+    return conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
 @query(infill.SQL)
 def op12_fill_in_middle(spark, sf_dir):
     return infill.transform(table(spark, sf_dir, "documents"))
