@@ -24,8 +24,19 @@ def fingerprint(text, size=4):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def components(rows, radius=4):
-    """{row number: smallest id} for (id, fingerprint) rows."""
+def five_words(text):
+    words = SPACE.findall(lower(text))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def alike(a, b):
+    """Whether two sets of shingles have a similarity of 0.8."""
+    return 5 * len(a & b) >= 4 * len(a | b)
+
+
+def components(rows, radius=4, linked=None):
+    """{row number: smallest id} for (id, fingerprint) rows; rows are linked by the distance of fingerprints unless told."""
+    linked = linked or (lambda a, b: bin(a ^ b).count("1") <= radius)
     parent = list(range(len(rows)))
 
     def root(i):
@@ -35,7 +46,7 @@ def components(rows, radius=4):
 
     for i in range(len(rows)):
         for j in range(i):
-            if bin(rows[i][1] ^ rows[j][1]).count("1") <= radius or rows[i][0] == rows[j][0]:
+            if linked(rows[i][1], rows[j][1]) or rows[i][0] == rows[j][0]:
                 parent[root(i)] = root(j)
     least = {}
     for i, (name, _) in enumerate(rows):

@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_queries_are_registered():
     names = [n for n in __spark_entry__.queries() if n.startswith("op") or n == "pipeline"]
-    assert {n.split("_")[0] for n in names} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
+    assert {n.split("_")[0] for n in names} == {*(f"op{i}" for i in range(1, 14)), "pipeline"}
     assert set(queries.ORACLES) <= set(__spark_entry__.oracle_sql())
 
 
@@ -35,8 +35,8 @@ def test_stages(spark, folder):
         if name == "quality rules":
             assert all(not brute.base_rules(r.text)[-1] for r in kept.values())
         if name == "near dedup":
-            rows = [(d, brute.fingerprint(t)) for d, t in before.items()]
-            assert set(kept) == {d for (d, _), c in zip(rows, brute.components(rows)) if d == c}
+            rows = [(d, brute.five_words(t)) for d, t in before.items()]
+            assert set(kept) == {d for (d, _), c in zip(rows, brute.components(rows, linked=brute.alike)) if d == c}
         if name == "decontamination":
             assert all(not brute.hits(r.text, items)[1] for r in kept.values())
             assert all(kept[d].text == t for d, t in before.items() if not brute.hits(t, items)[1])
