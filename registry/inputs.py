@@ -114,14 +114,7 @@ class Inputs:
 
     @cached_property
     def run_log(self) -> DataFrame:
-        return self.events.where("op = 8").selectExpr(
-            ITEM_AUTHOR, ITEM_PERMLINK,
-            "case when n % 5 = 0 then 'queue' else 'batch' end source",
-            "case event_type when 'error' then 'failed' when 'signup' then 'blacklisted' else 'success' end outcome",
-            "cast(round(value) as int) processing_seconds",
-            "case when n % 3 = 0 then 0 else cast(n % 600 as int) end video_duration_seconds",
-            "ts", "event_id",
-        )
+        return run_log_rows(self.events)
 
     @cached_property
     def status_log(self) -> DataFrame:
@@ -132,10 +125,7 @@ class Inputs:
 
     @cached_property
     def tag_log(self) -> DataFrame:
-        return self.events.where("op in (3, 8)").selectExpr(
-            ITEM_AUTHOR, ITEM_PERMLINK,
-            "array(event_type, concat('t', cast(floor(value) as bigint) % 7)) tags", "ts", "event_id",
-        )
+        return tag_log_rows(self.events)
 
     @cached_property
     def blacklist(self) -> DataFrame:
@@ -231,3 +221,21 @@ def subtitle_log_rows(events: DataFrame) -> DataFrame:
 
 def queue_log_rows(events: DataFrame) -> DataFrame:
     return events.where("op = 7").selectExpr(ITEM_AUTHOR, ITEM_PERMLINK, "ts requested_at")
+
+
+def run_log_rows(events: DataFrame) -> DataFrame:
+    return events.where("op = 8").selectExpr(
+        ITEM_AUTHOR, ITEM_PERMLINK,
+        "case when n % 5 = 0 then 'queue' else 'batch' end source",
+        "case event_type when 'error' then 'failed' when 'signup' then 'blacklisted' else 'success' end outcome",
+        "cast(round(value) as int) processing_seconds",
+        "case when n % 3 = 0 then 0 else cast(n % 600 as int) end video_duration_seconds",
+        "ts", "event_id",
+    )
+
+
+def tag_log_rows(events: DataFrame) -> DataFrame:
+    return events.where("op in (3, 8)").selectExpr(
+        ITEM_AUTHOR, ITEM_PERMLINK,
+        "array(event_type, concat('t', cast(floor(value) as bigint) % 7)) tags", "ts", "event_id",
+    )

@@ -2,10 +2,11 @@
 
 import uuid
 
+from pyspark.sql import functions as F
 
 from mediacat.session import shared_folder
 from mediacat.sources import catalog as C
-from mediacat.streaming import jobs
+from mediacat.streaming import jobs, live
 
 from . import inputs, query
 from .inputs import Inputs
@@ -109,3 +110,72 @@ def stream_available_counts(spark, sf_dir):
         inputs.audio_rows(stream(t, "pages")), START,
     )
     return jobs.live_counts(videos, [*KEY, "video_type"], ["video_type"], folder(spark))
+
+
+def event_batches(t: Inputs, files: int = 4):
+    """All events as a stream of several micro-batches, dealt out by number: neither moments nor keys are in order."""
+    path = f"{folder(t.spark)}/events"
+    t.table("events").repartition(files, "event_id").write.parquet(path)
+    return inputs.items(jobs.read_stream(t.spark, path, t.table("events").schema, files_per_batch=1))
+
+
+@query("""select author, permlink, min(requested_at) requested_at from queue_log left join
+  (select author, permlink, max(ts) taken from run_log where source='queue' group by all) using (author, permlink)
+  where (taken is null or requested_at>taken) and (author, permlink) in (select (author, permlink) from catalogs where video_type<>'audio')
+  group by author, permlink""")
+def stream_queue(spark, sf_dir):
+    """The queue after all requests and removals, over several batches; audio-only keys are refused."""
+    t = Inputs(spark, sf_dir)
+    events = event_batches(t)
+    taken = inputs.run_log_rows(events).where("source = 'queue'").withColumnRenamed("ts", "taken_at")
+    return live.live_queue(inputs.queue_log_rows(events), taken, t.catalogs, folder(spark)).entries()
+
+
+def _live_state(spark, sf_dir, totals: bool):
+    t = Inputs(spark, sf_dir)
+    events = event_batches(t)
+    deletions = inputs.run_log_rows(events).where("outcome = 'failed'")
+    offers = C.available(
+        inputs.legacy_rows(stream(t, "orders")), inputs.embed_rows(stream(t, "documents")), inputs.audio_rows(stream(t, "pages")), START,
+    )
+    if not totals:
+        return live.live_state(live.state_events(inputs.subtitle_log_rows(events), deletions), folder(spark), totals=False)
+    rows = live.state_events(inputs.subtitle_log_rows(events), deletions, inputs.tag_log_rows(events), offers)
+    return live.live_state(rows, folder(spark))
+
+
+LEFT = """(select l.* from subtitle_log l left join (select author, permlink, max(ts) gone from run_log where outcome='failed' group by all) using (author, permlink)
+  where gone is null or l.ts>gone)"""
+LEFT_VIDEOS = f"""(select author, permlink, first(video_type order by ts) of_type, count(distinct "language") lang_count from {LEFT} group by author, permlink)"""
+
+
+@query(f"""select author, permlink, "language", arg_max(subtitle_cid,ts) subtitle_cid, max(ts) updated_at, min(ts) created_at from {LEFT} group by all""")
+def stream_subtitle_state(spark, sf_dir):
+    """Current subtitles after saves and deletions, over several batches."""
+    return _live_state(spark, sf_dir, False).subtitles().select(*KEY, "language", "subtitle_cid", "updated_at", "created_at")
+
+
+def _of(column: str, kind: str) -> str:
+    return f"coalesce(max({column}) filter (video_type='{kind}'),0)"
+
+
+_KINDS = ("legacy", "embed", "audio")
+
+
+@query(f"""with per_type as (select video_type, cast(sum(a) as bigint) a, cast(sum(p) as bigint) p, cast(sum(s) as bigint) s from
+   (select video_type, 1 a, 0 p, 0 s from available union all select of_type, 0, 1, lang_count from {LEFT_VIDEOS}) group by all)
+  select cast(sum(p) as bigint) total_processed, cast(sum(s) as bigint) total_subtitles, (select count(*) from (select distinct author, permlink from tag_log)) total_tagged,
+  cast(sum(a) as bigint) total_available, {', '.join(f"{_of('a', k)} total_{k}" for k in _KINDS)}, {', '.join(f"{_of('p', k)} processed_{k}" for k in _KINDS)},
+  cast(sum(greatest(0,a-p)) as bigint) pending, {', '.join(f"{_of('greatest(0,a-p)', k)} pending_{k}" for k in _KINDS)} from per_type""")
+def stream_totals(spark, sf_dir):
+    """Running totals of the monitoring view, with deletions taken back out."""
+    return _live_state(spark, sf_dir, True).totals()
+
+
+@query(f"""select 'language' measure, "language" item, count(*) n from (select distinct author, permlink, "language" from {LEFT}) group by all
+  union all select 'open', video_type, count(*) from available where (author, permlink) not in (select (author, permlink) from {LEFT_VIDEOS}) group by all""")
+def stream_backlog(spark, sf_dir):
+    """Files per language and available videos without subtitles, kept current by the same stream."""
+    state = _live_state(spark, sf_dir, True)
+    return state.measure("language", "item").select(F.lit("language").alias("measure"), "item", "n").union(
+        state.measure("open", "item").select(F.lit("open"), "item", "n"))
