@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -147,3 +149,45 @@ def overlaps(cues: DataFrame, keys: Sequence[str], order: Sequence[str] = ("seg_
 def with_content_id(documents: DataFrame) -> DataFrame:
     """Content hash of each text: equal files get equal ids."""
     return documents.withColumn("subtitle_cid", F.sha2("srt", 256))
+
+
+def _carried(n_keys: int):
+    """Sorted pieces through one digest after another; a piece is held at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = sha = schema = None
+        size = pieces = 0
+        for batch in batches:
+            schema, out = batch.schema, []
+            for *found, text in zip(*(batch.column(i).to_pylist() for i in [*range(n_keys), n_keys + 1])):
+                if found != key:
+                    if key is not None:
+                        out.append((*key, sha.hexdigest(), size, pieces))
+                    key, sha, size, pieces = found, hashlib.sha256(), 0, 0
+                data = (text or "").encode()
+                sha.update(data)
+                size, pieces = size + len(data), pieces + 1
+            yield _named(out, schema, n_keys)
+        if key is not None:
+            yield _named([(*key, sha.hexdigest(), size, pieces)], schema, n_keys)
+
+    return run
+
+
+def _named(rows: list[tuple], schema: pa.Schema, n_keys: int) -> pa.RecordBatch:
+    kinds = [*[schema.field(i).type for i in range(n_keys)], pa.string(), pa.int64(), pa.int64()]
+    names = [*[schema.field(i).name for i in range(n_keys)], "subtitle_cid", "n_bytes", "n_parts"]
+    columns = zip(*rows) if rows else [[]] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+
+def content_ids(parts: DataFrame, keys: Sequence[str] = DOCUMENT, part: str = "part", text: str = "srt") -> DataFrame:
+    """Content hash, bytes and number of pieces of each document from its ordered pieces.
+
+    The hash is that of the whole text, which is never put together: a document's pieces come
+    from many tasks and stream in their order through one digest.
+    """
+    placed = parts.select(*keys, F.col(part).alias("_part"), F.col(text).alias("_text")).repartition(*keys)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in placed.schema.fields[: len(keys)])
+    return placed.sortWithinPartitions(*keys, "_part").mapInArrow(
+        _carried(len(keys)), f"{kinds}, subtitle_cid string, n_bytes long, n_parts long")

@@ -13,6 +13,7 @@ from ..functions.fixed_values import (
 from ..operators.ordered import position
 from ..operators.selection import flag_creators, type_flags
 from ..sinks.lists import queue_flags
+from ..sinks.ordered_table import By, OrderedTable
 from ..session import shared_folder
 from ..sources.catalog import KEY, catalog_rank
 
@@ -210,3 +211,24 @@ def processed_page(
         iso(F.col("video_created_at")).alias("video_created_at"),
         iso(display_date()).alias("display_date"), "has_more", *_run_facts(rows),
     )
+
+
+PAGE_ORDER = [By("updated_at", descending=True), By("author"), By("permlink")]
+
+
+def store_finished(videos: DataFrame, path: str) -> OrderedTable:
+    """Processed videos in page order, stored once; every page is then read from one or two of its files."""
+    shared_folder(videos.sparkSession)
+    rows = videos.withColumn("languages", F.array_join("languages", ","))
+    return OrderedTable.write(rows.checkpoint(), path, PAGE_ORDER)
+
+
+def stored_page(table: OrderedTable, page: int = 1, per_page: int = 50) -> DataFrame:
+    """:func:`processed_page` from the stored order, at the same cost at every depth."""
+    size = min(int(per_page), PAGE_MAX)
+    rows = table.page(page, size)
+    return rows.select(
+        F.lit(page).alias("page"), *KEY, "is_embed", "is_audio", "languages", iso(F.col("created_at")).alias("created_at"),
+        iso(F.col("updated_at")).alias("updated_at"), iso(F.col("video_created_at")).alias("video_created_at"),
+        iso(display_date()).alias("display_date"), "has_more", *_run_facts(rows),
+    )

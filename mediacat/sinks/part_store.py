@@ -39,8 +39,9 @@ Thin = Callable[[DataFrame, DataFrame, Manifest], DataFrame]
 
 
 class PartStore:
-    def __init__(self, spark: SparkSession, base: str, schema: str, thin: Thin, fanout: int = 4, ring: int = 8):
-        self.spark, self.base, self.thin, self.fanout, self.ring = spark, base, thin, fanout, ring
+    def __init__(self, spark: SparkSession, base: str, schema: str, thin: Thin, fanout: int = 4, ring: int = 8,
+                 options: dict[str, str] | None = None):
+        self.spark, self.base, self.thin, self.fanout, self.ring, self.options = spark, base, thin, fanout, ring, options or {}
         self.schema = T.StructType.fromDDL(schema)
         try:
             found = spark.read.schema(MANIFEST).parquet(f"{base}/manifest").collect()
@@ -83,7 +84,7 @@ class PartStore:
         def write(part: DataFrame, level: int) -> int:
             slot = self._free(taken)
             taken.add(slot)
-            part.select(*self.schema.names).write.mode("overwrite").parquet(self.path(slot))
+            part.select(*self.schema.names).write.options(**self.options).mode("overwrite").parquet(self.path(slot))
             now.slots.append(slot)
             now.levels.append(level)
             return slot

@@ -2,7 +2,7 @@
 
 An event that cuts (a queue item is taken, a video's subtitles are deleted) undoes what
 happened to its key before it, whatever the order in which the two arrive. Events are kept
-in a :class:`.store.PartStore` and compared by moment and sequence, so any split into
+in a :class:`..sinks.part_store.PartStore` and compared by moment and sequence, so any split into
 batches gives the rows the batch form gives.
 
 ``lateness`` bounds how long after a newer event a cut may arrive. Events older than that
@@ -24,7 +24,7 @@ from ..functions.fixed_values import AUDIO, EMBED, LEGACY
 from ..sinks.lists import with_existence
 from ..sinks.subtitles import STATE, as_state, fold
 from ..sources.catalog import KEY
-from .store import Manifest, PartStore
+from ..sinks.part_store import Manifest, PartStore
 
 ASKED, TAKEN = "asked", "taken"
 QUEUE_EVENTS = "author string, permlink string, kind string, at timestamp_ntz"

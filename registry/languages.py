@@ -1,5 +1,6 @@
 """Language rules, fan-out and translation."""
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -7,6 +8,8 @@ from pyspark.sql import functions as F
 from mediacat.operators import languages as L
 from mediacat.operators import transcript, translation
 from mediacat.plans import work_pass
+from mediacat.session import shared_folder
+from mediacat.sinks.srt_store import SrtStore
 
 from . import query
 from .inputs import Inputs
@@ -128,13 +131,17 @@ def translation_pairs(spark, sf_dir):
     )
 
 
-def pass_documents(spark, sf_dir):
-    t = Inputs(spark, sf_dir)
+def pass_videos(t: Inputs):
     videos = work_pass.open_videos(
         t.legacy, t.embed, t.audio, t.blacklist_authors, t.blacklist, NOW, datetime(1998, 6, 1)
     )
     spoken = L.detected_language(t.embed.selectExpr("owner author", "permlink", "lang"), FEW_LANGUAGES)
-    videos = videos.where(F.col("video_type") == "embed").join(spoken, KEY)
+    return videos.where(F.col("video_type") == "embed").join(spoken, KEY)
+
+
+def pass_documents(spark, sf_dir):
+    t = Inputs(spark, sf_dir)
+    videos = pass_videos(t)
     documents = work_pass.subtitle_documents(
         videos, t.raw_segments, t.state, LANGUAGES, CORRECTIONS, stand_in_translation, MAX_WORDS
     )
@@ -166,3 +173,15 @@ def work_pass_documents(spark, sf_dir):
 def work_pass_saves(spark, sf_dir):
     videos, documents = pass_documents(spark, sf_dir)
     return work_pass.saves(documents, videos)
+
+
+@query(f"""with {OPEN_EMBED} select author, permlink, "language", sha256(srt) subtitle_cid, octet_length(encode(srt)) n_bytes,
+  author||'/'||permlink||'.'||"language"||'.srt' path from ({PASS})""")
+def work_pass_parts(spark, sf_dir):
+    """The same pass with its texts in pieces in the packed store; ids are taken over the pieces."""
+    t = Inputs(spark, sf_dir)
+    videos = pass_videos(t)
+    store = SrtStore(spark, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}")
+    made = work_pass.run_pass_into(
+        store, videos, t.raw_segments, t.state, LANGUAGES, CORRECTIONS, stand_in_translation, MAX_WORDS)
+    return made.documents.drop("n_parts")

@@ -1,8 +1,11 @@
 """Totals, backlogs, feeds and pages."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from mediacat.plans import monitoring as M
+from mediacat.session import shared_folder
 from mediacat.sinks.subtitles import current_status, with_processing_times
 from mediacat.sources.catalog import available as published
 
@@ -158,6 +161,23 @@ def processed_page_deep(spark, sf_dir):
     return M.processed_page(finished(Inputs(spark, sf_dir)), page=3, per_page=500)
 
 
+@query(f"select * from ({page_sql(1, 50)}) union all select * from ({page_sql(4, 50)})")
+def stored_pages(spark, sf_dir):
+    """A first and a deeper page of one stored order."""
+    table = M.store_finished(finished(Inputs(spark, sf_dir)), f"{shared_folder(spark)}/finished-{uuid.uuid4().hex}")
+    return M.stored_page(table, 1, 50).union(M.stored_page(table, 4, 50))
+
+
+@query(f"""select author, permlink, "position" from (select *, row_number() over (order by updated_at desc, author, permlink) "position" from videos)
+  where "position" between 101 and 200""")
+def page_by_key(spark, sf_dir):
+    """The hundred videos that follow the last one of a first page, found by its key."""
+    t = Inputs(spark, sf_dir)
+    table = M.store_finished(t.videos, f"{shared_folder(spark)}/finished-{uuid.uuid4().hex}")
+    last = table.between(100, 100).first()
+    return table.after((last["updated_at"], last["author"], last["permlink"]), 100).select("author", "permlink", "position")
+
+
 @query("""select count(*) total, count_if(outcome='success')::bigint successful, count_if(outcome='failed')::bigint failed from run_log where source='batch'""")
 def run_summary(spark, sf_dir):
     return M.run_summary(Inputs(spark, sf_dir).run_log)

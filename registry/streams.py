@@ -4,6 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from mediacat.plans.work_list import WorkList
 from mediacat.session import shared_folder
 from mediacat.sources import catalog as C
 from mediacat.streaming import jobs, live
@@ -74,13 +75,16 @@ def stream_completion(spark, sf_dir):
     return jobs.completion(inputs.subtitle_log_rows(event_stream(t)), LANGUAGES, folder(spark))
 
 
-@query("""select author, permlink, bucket, requested_at, prio_rank, type_rank, status_rank, row_number() over (order by bucket, requested_at nulls last,
+PRIORITY = """select author, permlink, bucket, requested_at, prio_rank, type_rank, status_rank, row_number() over (order by bucket, requested_at nulls last,
     prio_rank, type_rank, status_rank, created_at nulls first, cat, author, permlink) as "position" from (
   select author, permlink, 0 bucket, requested_at, null::int prio_rank, null::int type_rank, null::int status_rank, null::timestamp created_at, 0 cat from queue
     where (author, permlink) in (select (author, permlink) from catalogs)
   union all select author, permlink, 1, null, case when author in (select author from creators) then 0 else 1 end,
     case video_type when 'embed' then 0 when 'legacy' then 1 else 2 end, case when status='published' then 0 else 1 end, created_at, cat
-  from candidates where (author, permlink) not in (select (author, permlink) from queue))""")
+  from candidates where (author, permlink) not in (select (author, permlink) from queue))"""
+
+
+@query(PRIORITY)
 def stream_priority(spark, sf_dir):
     t = Inputs(spark, sf_dir)
     candidates = C.all_videos(t.legacy, t.embed, t.audio, NOW)
@@ -179,3 +183,26 @@ def stream_backlog(spark, sf_dir):
     state = _live_state(spark, sf_dir, True)
     return state.measure("language", "item").select(F.lit("language").alias("measure"), "item", "n").union(
         state.measure("open", "item").select(F.lit("open"), "item", "n"))
+
+
+@query(PRIORITY)
+def work_list(spark, sf_dir):
+    """The whole list over a stored order of the candidates, after a stream of requests in several batches."""
+    t = Inputs(spark, sf_dir)
+    candidates = C.all_videos(t.legacy, t.embed, t.audio, NOW)
+    work = WorkList.store(candidates, t.creators, f"{folder(spark)}/candidates")
+    no_removals = jobs.read_stream(spark, f"{sf_dir}/events*.parquet", t.table("events").schema).where("false").selectExpr(
+        "cast(null as string) author", "cast(null as string) permlink", "ts taken_at")
+    queue = live.live_queue(inputs.queue_log_rows(event_batches(t)), no_removals, t.catalogs, folder(spark), include_audio=True)
+    work.request(queue.entries())
+    return work.rows().drop("created_at")
+
+
+@query(f"""select author, permlink, bucket, "position" from ({PRIORITY}) where "position" <= 500""")
+def work_list_head(spark, sf_dir):
+    """What is taken next: the head and the first files of the stored order."""
+    t = Inputs(spark, sf_dir)
+    work = WorkList.store(C.all_videos(t.legacy, t.embed, t.audio, NOW), t.creators, f"{folder(spark)}/candidates")
+    known = t.queue.join(t.catalogs.select(*KEY).distinct(), KEY, "left_semi")
+    work.request(known)
+    return work.first(500)

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from mediacat.functions.timecode import to_millis, to_timecode
 from mediacat.operators import srt, transcript
+from mediacat.operators.srt_lines import parse_lines, read_lines
 from mediacat.operators.transcript import CUE, cue_block
 from mediacat.session import shared_folder
 from mediacat.sinks import files
+from mediacat.sinks.srt_store import SrtStore
 from mediacat.sources.srt_files import read_srt
 
 from . import query
@@ -165,18 +167,32 @@ def hotword_prompt(spark, sf_dir):
 NUMBERED = "lpad(substring(permlink,2),6,'0')"
 
 
-def written_files(t: Inputs):
-    """The rendered documents, some with other line ends or a byte order mark, written and read again."""
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
+def other_line_ends(t: Inputs):
+    """The rendered documents under numeric-looking names, some with other line ends, a byte order mark or a note before the cues."""
     name = F.lpad(F.substring("permlink", 2, 20), 6, "0")
     number = name.cast("int") % 4
     text = (
         F.when(number == 1, F.replace("srt", F.lit("\n"), F.lit("\r\n")))
         .when(number == 2, F.concat(F.lit("\ufeff"), "srt")).when(number == 3, F.concat(F.lit("note\n\n"), "srt")).otherwise(F.col("srt"))
     )
-    documents = rendered(t).select("author", name.alias("permlink"), "language", text.alias("srt"))
-    folder = f"{shared_folder(t.spark)}/srt-{uuid.uuid4().hex}"
-    files.write_srt(documents, folder)
-    return read_srt(t.spark, folder)
+    return rendered(t).select("author", name.alias("permlink"), "language", text.alias("srt"))
+
+
+def files_folder(t: Inputs) -> str:
+    """The documents written as a file each, once in a session."""
+    key = t.spark.sparkContext.applicationId, t.sf_dir
+    if key not in _WRITTEN:
+        folder = f"{shared_folder(t.spark)}/srt-{uuid.uuid4().hex}"
+        files.write_srt(other_line_ends(t), folder)
+        _WRITTEN[key] = folder
+    return _WRITTEN[key]
+
+
+def written_files(t: Inputs):
+    return read_srt(t.spark, files_folder(t))
 
 
 @query(f"""select author, {NUMBERED} permlink, "language", cue_count, octet_length(encode(srt)) + case {NUMBERED}::int%4
@@ -191,3 +207,40 @@ def srt_file_round_trip(spark, sf_dir):
 @query(f"""select author, {NUMBERED} permlink, "language", 0 "at", 'note' piece from rendered where {NUMBERED}::int%4=3""")
 def srt_unparsed(spark, sf_dir):
     return srt.unparsed(written_files(Inputs(spark, sf_dir)))
+
+
+@query(f"""select author, {NUMBERED} permlink, 'en' "language", no cue_no, {ms('start_s')} start_ms, {ms('end_s')} end_ms, trim(text,{WS}) text
+  from (select *, row_number() over (partition by author,permlink order by seg_idx) no from segments)""")
+def srt_file_cues(spark, sf_dir):
+    """Cues of the same files, read line by line in byte ranges: no file is one value."""
+    cues = parse_lines(read_lines(spark, files_folder(Inputs(spark, sf_dir))))
+    return cues.select(*srt.DOCUMENT, "cue_no", "start_ms", "end_ms", "text")
+
+
+@query(f"""select author, {NUMBERED} permlink, "language", case {NUMBERED}::int%4 when 1 then sha256(replace(srt,chr(10),chr(13)||chr(10)))
+  when 2 then sha256(chr(65279)||srt) when 3 then sha256('note'||chr(10)||chr(10)||srt) else sha256(srt) end subtitle_cid from rendered""")
+def srt_store_round_trip(spark, sf_dir):
+    """The same texts through the packed store: exact bytes back."""
+    t = Inputs(spark, sf_dir)
+    store = SrtStore(spark, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}")
+    store.write(other_line_ends(t))
+    return srt.with_content_id(store.documents()).select(*srt.DOCUMENT, "subtitle_cid")
+
+
+@query(f"""select author, permlink, 'en' "language", sha256(srt) subtitle_cid, octet_length(encode(srt)) n_bytes, n_parts from (select author, permlink,
+  string_agg(no||chr(10)||{timecode('start_s')}||' --> '||{timecode('end_s')}||chr(10)||text||chr(10)||chr(10),'' order by no) srt, count(distinct raw_seg//512) n_parts
+  from (select *, row_number() over (partition by author,permlink order by raw_seg,cue_in_seg) no from cues) group by all)""")
+def srt_part_ids(spark, sf_dir):
+    """Content ids over the pieces of texts that are never put together."""
+    cues = transcript.split_segments(Inputs(spark, sf_dir).raw_segments, MAX_WORDS)
+    return srt.content_ids(srt.render_parts(english(cues), order=CUE, block=cue_block()))
+
+
+@query(f"""select author, permlink, 'en' "language", count_if(not broken)::bigint cue_count, count_if(not broken and trim(text,{WS})='')::bigint empty_count,
+  count_if(not broken and coalesce({ms('end_s')} > next_ms, false))::bigint overlap_count, not bool_or(broken) is_valid from (select *,
+  lead({ms('start_s')}) over (partition by author,permlink order by seg_idx) next_ms, {NUMBERED}::int%3=0 broken from segments) group by author, permlink""")
+def srt_quality_broken(spark, sf_dir):
+    """Quality of files of which a third have lost the arrows of their timing lines: those have no cue and are not valid."""
+    documents = rendered(Inputs(spark, sf_dir))
+    broken = F.substring("permlink", 2, 20).cast("int") % 3 == 0
+    return srt.document_quality(documents.withColumn("srt", F.when(broken, F.replace("srt", F.lit(" --> "), F.lit(" "))).otherwise(F.col("srt"))))

@@ -10,7 +10,7 @@ from mediacat.plans import monitoring
 from mediacat.sinks.lists import current_queue
 from mediacat.sinks.subtitles import after_deletions, as_state, fold, headers
 from mediacat.streaming import jobs, live
-from mediacat.streaming.store import PartStore
+from mediacat.sinks.part_store import PartStore
 
 KEY = ["author", "permlink"]
 CATALOG = "author string, permlink string, video_type string"
