@@ -23,5 +23,5 @@ def query(sql: str | None = None):
 
 
 def load() -> None:
-    for part in ("catalog", "transcripts", "languages", "tags", "state", "monitoring", "media", "streams"):
+    for part in ("catalog", "transcripts", "languages", "tags", "state", "monitoring", "media", "streams", "full_pass"):
         import_module(f"registry.{part}")
