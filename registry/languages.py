@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from mediacat.operators import languages as L
 from mediacat.operators import transcript, translation
+from mediacat.operators.translation_memory import TranslationMemory
 from mediacat.plans import work_pass
 from mediacat.session import shared_folder
 from mediacat.sinks.srt_store import SrtStore
+from mediacat.sources import config
 
 from . import query
 from .inputs import Inputs
@@ -93,6 +95,27 @@ def translate_segments(spark, sf_dir):
     return done.select(*KEY, "seg_idx", "language", "start_s", "end_s", "text")
 
 
+@query(f"""select author, permlink, seg_idx, "language", start_s, end_s,
+  case when "language"='en' then text else '[eng_Latn>'||{CODES}||'] '||text end text from {FANNED}""")
+def translate_remembered(spark, sf_dir):
+    """A second pass, over all languages, with the translations a first one for Spanish has left."""
+    segments = fanned(Inputs(spark, sf_dir))
+    memory = TranslationMemory(spark, f"{shared_folder(spark)}/units-{uuid.uuid4().hex}")
+    memory.translate(segments.where("language = 'es'"), stand_in_translation)
+    done = translation.with_translations(segments, memory.translate(segments, stand_in_translation))
+    return done.select(*KEY, "seg_idx", "language", "start_s", "end_s", "text")
+
+
+@query("""select row_number() over (order by lang) - 1 ord, lang code, cast(null as double) max_duration, n from (select lang, count(*) n from documents group by lang)""")
+def configured_languages(spark, sf_dir):
+    """A configuration whose languages are those of the documents, as a table a job can join."""
+    documents = Inputs(spark, sf_dir).table("documents")
+    found = sorted(r["lang"] for r in documents.select("lang").distinct().collect())
+    settings = config.from_mapping({"languages": [{"code": code} for code in found]})
+    counts = documents.groupBy(F.col("lang").alias("code")).agg(F.count("*").alias("n"))
+    return config.languages_table(spark, settings).join(counts, "code").select("ord", "code", "max_duration", "n")
+
+
 @query(f"""select author, permlink, "language", count(*) n_segments from {FANNED} group by all having count_if("language"='fr' and length(text)%7=3)>0""")
 def translation_rejects(spark, sf_dir):
     """A model that fails on some texts of one language rejects these documents only."""

@@ -28,6 +28,12 @@ def subtitle_map(spark, sf_dir):
     return subtitles.as_map(Inputs(spark, sf_dir).state).select(*KEY, text.alias("subtitles"))
 
 
+@query("""select author, permlink, "language", subtitle_cid from state""")
+def subtitle_from_maps(spark, sf_dir):
+    """Map form and back."""
+    return subtitles.from_maps(subtitles.as_map(Inputs(spark, sf_dir).state))
+
+
 @query("""select v.author, v.permlink, v.updated_at, r.processing_seconds, r.video_duration_seconds from videos v left join
   (select author, permlink, arg_max(processing_seconds,ts) processing_seconds,
     arg_max(video_duration_seconds,ts) filter (video_duration_seconds<>0) video_duration_seconds

@@ -123,3 +123,13 @@ def tag_scores_hook(spark, sf_dir):
     rows = Inputs(spark, sf_dir).documents.select("doc_id", "text")
     found = tagging.scored_by_hook(rows, seed_shares, [tag.label for tag in TAGS], text="text")
     return found.select("doc_id", F.explode("scores").alias("s")).select("doc_id", "s.label", "s.score")
+
+
+@query(f"""select author, permlink, case when trim(said,{WS})='' then null else said end tag_text from (select author, permlink,
+  substring(string_agg(text,' ' order by seg_idx),1,1500) said from cues group by all)""")
+def tag_input_unsampled(spark, sf_dir):
+    """All of the speech, shortened by definition, and no description."""
+    t = Inputs(spark, sf_dir)
+    speech = transcript.transcript_text(transcript.split_segments(t.raw_segments, MAX_WORDS), CUE, cue_block())
+    rows = tagging.classification_text(speech.withColumn("description", F.lit(None).cast("string")), sampled=False)
+    return rows.select(*KEY, "tag_text")

@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from mediacat.functions.timecode import to_millis, to_timecode
 from mediacat.operators import srt, transcript
+from mediacat.operators.many_rules import corrected_by_many
 from mediacat.operators.srt_lines import parse_lines, read_lines
 from mediacat.operators.transcript import CUE, cue_block
 from mediacat.session import shared_folder
 from mediacat.sinks import files
 from mediacat.sinks.srt_store import SrtStore
 from mediacat.sources.srt_files import read_srt
+from mediacat.sources.tables import correction_rules
 
 from . import query
 from .inputs import Inputs
@@ -244,3 +246,13 @@ def srt_quality_broken(spark, sf_dir):
     documents = rendered(Inputs(spark, sf_dir))
     broken = F.substring("permlink", 2, 20).cast("int") % 3 == 0
     return srt.document_quality(documents.withColumn("srt", F.when(broken, F.replace("srt", F.lit(" --> "), F.lit(" "))).otherwise(F.col("srt"))))
+
+
+@query(f"""select author, permlink, seg_idx, {corrections('text')} text from segments""")
+def corrections_from_table(spark, sf_dir):
+    """A long rule list from a table, most of which no text has, and the configured rules after it: one automaton, one column."""
+    t = Inputs(spark, sf_dir)
+    listed = t.table("supplier").selectExpr("cast(s_suppkey as int) ord", "concat(s_name, '#') from_text", "s_phone to_text")
+    last = spark.createDataFrame([((1 << 30) + i, *rule) for i, rule in enumerate(CORRECTIONS)], "ord int, from_text string, to_text string")
+    rules = correction_rules(listed.unionByName(last))
+    return t.segments.select(*KEY, "seg_idx", corrected_by_many("text", rules).alias("text"))
