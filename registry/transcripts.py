@@ -252,7 +252,7 @@ def srt_quality_broken(spark, sf_dir):
 def corrections_from_table(spark, sf_dir):
     """A long rule list from a table, most of which no text has, and the configured rules after it: one automaton, one column."""
     t = Inputs(spark, sf_dir)
-    listed = t.table("supplier").selectExpr("cast(s_suppkey as int) ord", "concat(s_name, '#') from_text", "s_phone to_text")
+    listed = t.table("supplier").selectExpr("cast(s_suppkey as int) ord", "concat(s_name, '#') from_text", "cast(s_acctbal as string) to_text")
     last = spark.createDataFrame([((1 << 30) + i, *rule) for i, rule in enumerate(CORRECTIONS)], "ord int, from_text string, to_text string")
     rules = correction_rules(listed.unionByName(last))
     return t.segments.select(*KEY, "seg_idx", corrected_by_many("text", rules).alias("text"))
