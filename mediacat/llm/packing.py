@@ -11,8 +11,8 @@ a class's own sequences leave free holds no other document of it:
 * documents that found none and gaps that took none meet across the ranges by rank: in the
   order of sizes the document takes the nearest gap before it. Only counts for each range go
   through the driver;
-* gaps shrink by what they took, and the next round begins. It ends when no gap holds the
-  least document that is left; the documents left then open sequences in a last sweep.
+* gaps shrink by what they took, and a second sweep goes over them and the documents left,
+  which now open a sequence where they find no gap.
 
 Ties in size are broken by number, so a length that a third of all documents have is spread
 over ranges like any other.
@@ -34,15 +34,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .tables import written
-from .token_ids import SEGMENT, Encoder
+from .token_ids import Encoder
 from .words import text_slices
 
 LIMIT = 2048
 END = 0
 #: A class ends at the sequence's length by each of these; documents of a 32nd or less are one class.
 CLASSES = (2, 3, 4, 5, 6, 8, 16, 32)
-#: Rows of a range: what one task sweeps, and what it may hold in gaps.
+#: Rows of a range: what is swept at a time, and what may be held in gaps. A task writes some ranges to one file.
 RANGE_ROWS = 50_000
+RANGES_A_FILE, LEAST_FILES = 32, 8
+SLICE_BYTES = 8 << 20
 
 PIECES = "number long, doc_id long, piece int, start long, length long, ids_crc32 long"
 RESULT = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
@@ -59,10 +61,10 @@ def cut_pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, number = Encoder(path), TaskContext.get().partitionId() << 40
         for batch in batches:
-            for rows in text_slices(batch, "text", SEGMENT):
+            for rows in text_slices(batch, "text", SLICE_BYTES):
                 names, texts = rows.column(0).to_pylist(), rows.column(1)
-                if texts.nbytes > SEGMENT and len(texts) == 1:
-                    flat = encoder.of_text(texts, [end])
+                if texts.nbytes > SLICE_BYTES and len(texts) == 1:
+                    flat = encoder.of_text(texts, [end], SLICE_BYTES)
                     bounds = np.array([0, len(flat)])
                 else:
                     flat, bounds = encoder.of_texts(texts, [end])
@@ -80,13 +82,13 @@ def cut_pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "
 
 
 def sweep(limit: int, opening: bool):
-    """Best fit over one range: rows of (size, document or gap, number, offset), sizes falling.
+    """Best fit over one range: rows of (size, document or gap, number, range), sizes falling.
 
     ``held`` has the gaps of each size that are still there, ``sizes`` those sizes in order.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, held, sizes, rank, least = TaskContext.get().partitionId(), {}, [], 0, limit
+        part, held, sizes, rank, least = None, {}, [], 0, limit
 
         def add(size: int, sequence: int) -> None:
             if size in held:
@@ -97,7 +99,7 @@ def sweep(limit: int, opening: bool):
 
         for batch in batches:
             out = []
-            for size, is_document, number in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for size, is_document, number, part in zip(*(c.to_pylist() for c in batch.columns)):
                 least = size
                 if not is_document:
                     add(size, number)
@@ -121,7 +123,7 @@ def sweep(limit: int, opening: bool):
         for size in sizes:
             for sequence in held[size]:
                 slots = size // least if size >= least and not opening else 0
-                out.append((OPEN if slots else GAP, part, slot, slots, None, size, sequence, None))
+                out.append((OPEN if slots else GAP, part if slots else None, slot, slots, None, size, sequence, None))
                 slot += slots
                 if len(out) == 10_000:
                     yield table_of(out)
@@ -143,49 +145,69 @@ def ranges(rows: int) -> int:
     return max(2, min(rows // RANGE_ROWS, max(20_000, rows // (20 * RANGE_ROWS))))
 
 
-def swept(docs: DataFrame, gaps: DataFrame | None, rows: int, limit: int, opening: bool) -> DataFrame:
-    """One sweep of documents (number, size) over gaps (sequence, size), as a stored table (``SWEPT``)."""
-    both = docs.select("size", F.lit(1).alias("is_document"), "number")
-    if gaps is not None:
-        both = both.union(gaps.select("size", F.lit(0), F.col("sequence")))
+def kept(rows: DataFrame, n: int) -> DataFrame:
+    """A sweep's rows as a stored table; the ranges of ``n`` rows share files."""
+    return written(rows.coalesce(max(LEAST_FILES, ranges(n) // RANGES_A_FILE)))
+
+
+def swept(docs: DataFrame, gaps: DataFrame, least: int, rows: int, limit: int, opening: bool) -> DataFrame:
+    """One sweep of documents (number, size) over gaps (sequence, size) as a stored table (``SWEPT``).
+
+    Gaps of ``least`` or less hold no document and are passed on as they are, so the last
+    table has all gaps there are.
+    """
+    both = docs.select("size", F.lit(1).alias("is_document"), "number").union(
+        gaps.where(F.col("size") > least).select("size", F.lit(0), F.col("sequence")))
     order = [F.desc("size"), F.asc("is_document"), F.asc("number")]
-    return written(both.repartitionByRange(ranges(rows), *order).sortWithinPartitions(*order).mapInArrow(sweep(limit, opening), SWEPT))
+    placed = both.repartitionByRange(ranges(rows), *order).sortWithinPartitions(*order).withColumn("range", F.spark_partition_id())
+    out = placed.mapInArrow(sweep(limit, opening), SWEPT)
+    return kept(out.union(row_of(gaps.where(F.col("size") <= least), GAP, size="size", sequence="sequence")), rows)
 
 
-def meetings(spark: SparkSession, counts: list) -> tuple[DataFrame, DataFrame] | None:
-    """Which ranks of unplaced documents of a range take which slots of an earlier one, and what each range has used.
+def row_of(rows: DataFrame, what: int, **values) -> DataFrame:
+    """Rows in the form of ``SWEPT``, null where nothing is told."""
+    fields = [f.split() for f in SWEPT.split(", ")]
+    told = {"what": F.lit(what)} | {name: F.col(v) if isinstance(v, str) else v for name, v in values.items()}
+    return rows.select(*[told.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in fields])
+
+
+class Meeting:
+    """Which ranks of unplaced documents of a range take which slots of an earlier one.
 
     ``counts`` has a row for each range with its unplaced documents and open slots. A range's
     gaps lie before those of all later ranges, so the last range with free slots is nearest.
+    ``found`` has the runs that meet, ``taken`` and ``used`` what each range has spent.
     """
-    found, stack = [], []
-    taken, used = {}, {}
-    for row in sorted(counts, key=lambda r: r["range"]):
-        rank = 0
-        while rank < row["unplaced"] and stack:
-            gaps, slot, free = stack.pop()
-            n = min(free, row["unplaced"] - rank)
-            found.append((row["range"], rank, rank + n, gaps, slot))
-            rank, used[gaps] = rank + n, slot + n
-            if free > n:
-                stack.append((gaps, slot + n, free - n))
-        taken[row["range"]] = rank
-        if row["slots"]:
-            stack.append((row["range"], 0, row["slots"]))
-    if not found:
-        return None
-    meet = spark.createDataFrame(found, "range int, first long, last long, gaps int, slot long")
-    spent = spark.createDataFrame([(p, taken[p], used.get(p, 0)) for p in taken], "range int, taken long, used long")
-    return meet, spent
-
-
-def met(found: DataFrame, meet: DataFrame, spent: DataFrame, limit: int) -> DataFrame:
+
+    def __init__(self, counts: list):
+        self.found, self.taken, self.used, stack = [], {}, {}, []
+        for row in sorted(counts, key=lambda r: r["range"]):
+            rank = 0
+            while rank < row["unplaced"] and stack:
+                gaps, slot, free = stack.pop()
+                n = min(free, row["unplaced"] - rank)
+                self.found.append((row["range"], rank, rank + n, gaps, slot))
+                rank, self.used[gaps] = rank + n, slot + n
+                if free > n:
+                    stack.append((gaps, slot + n, free - n))
+            self.taken[row["range"]] = rank
+            if row["slots"]:
+                stack.append((row["range"], 0, row["slots"]))
+
+    def tables(self, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+        spent = [(p, n, self.used.get(p, 0)) for p, n in self.taken.items()]
+        return (spark.createDataFrame(self.found, "range int, first long, last long, gaps int, slot long"),
+                spark.createDataFrame(spent, "range int, taken long, used long"))
+
+
+def met(found: DataFrame, meeting: Meeting, rows: int, limit: int) -> DataFrame:
     """Rows of a sweep after its unplaced documents and open gaps have met (stored, ``SWEPT``).
 
     A gap has as many slots as it holds documents of its range's least size, and later
     documents are no larger, so whatever takes its slots fits. The broadcast tables have a
     row for each range, and for each run of ranks that meet: two for each range at most.
     """
+    meet, spent = meeting.tables(found.sparkSession)
     of_range = found.join(F.broadcast(spent), "range")
     docs = (
         found.where(F.col("what") == UNPLACED).join(F.broadcast(meet), "range").where("rank >= first and rank < last")
@@ -202,18 +224,17 @@ def met(found: DataFrame, meet: DataFrame, spent: DataFrame, limit: int) -> Data
     whole = Window.partitionBy("sequence")
     pairs = pairs.withColumn("ahead", F.coalesce(F.sum("length").over(before), F.lit(0))) \
         .withColumn("all", F.sum("length").over(whole)).withColumn("last", F.col("at") == F.max("at").over(whole))
-    null = F.lit(None).cast("long")
-    placed = pairs.select(F.lit(PLACED).alias("what"), F.lit(None).cast("int").alias("range"), null.alias("rank"), null.alias("slots"), "number",
-                          F.col("length").alias("size"), "sequence", (limit - F.col("size") + F.col("ahead")).alias("offset"))
-    shrunk = pairs.where("last").select(F.lit(GAP).alias("what"), F.lit(None).cast("int").alias("range"), null.alias("rank"), null.alias("slots"),
-                                        null.alias("number"), (F.col("size") - F.col("all")).alias("size"), "sequence", null.alias("offset"))
-    rest = of_range.where(~((F.col("what") == UNPLACED) & (F.col("rank") < F.col("taken")) | (F.col("what") == OPEN) & (F.col("rank") < F.col("used"))))
-    return written(rest.select(*placed.columns).union(placed).union(shrunk))
+    placed = row_of(pairs, PLACED, number="number", size="length", sequence="sequence", offset=limit - F.col("size") + F.col("ahead"))
+    shrunk = row_of(pairs.where("last"), GAP, size=F.col("size") - F.col("all"), sequence="sequence")
+    # Of an open gap that has met nothing, and of all other rows, nothing changes; those passed on have no range.
+    gone = (F.col("what") == UNPLACED) & (F.col("rank") < F.col("taken")) | (F.col("what") == OPEN) & (F.col("rank") < F.col("used"))
+    rest = found.join(F.broadcast(spent), "range", "left").where(~F.coalesce(gone, F.lit(False)))
+    return kept(rest.select(*placed.columns).union(placed).union(shrunk), rows)
 
 
 def place(pieces: DataFrame, limit: int = LIMIT) -> DataFrame:
     """(number, sequence, offset) of every piece; ``pieces`` is a stored table with ``number`` and ``length``."""
-    spark, half = pieces.sparkSession, limit // 2
+    unplaced, is_gap, half = F.col("what") == UNPLACED, F.col("what").isin(OPEN, GAP), limit // 2
     large = pieces.where(F.col("length") > half)  # class 0
     placed = [large.select("number", F.col("number").alias("sequence"), F.lit(0).cast("long").alias("offset"))]
     gaps = large.where(F.col("length") < limit).select(F.col("number").alias("sequence"), (limit - F.col("length")).alias("size"))
@@ -223,29 +244,21 @@ def place(pieces: DataFrame, limit: int = LIMIT) -> DataFrame:
     for number in sorted(set(sizes) - {0}):
         docs = pieces.where(per_class == number).select("number", F.col("length").alias("size"))
         rows, least = sizes[number], limit // CLASSES[number] if number < len(CLASSES) else 0
-        while True:
-            active = gaps.where(F.col("size") > least)
-            found = swept(docs, active, rows + n_gaps, limit, False)
-            counts = found.groupBy("range").agg(
-                F.count_if(F.col("what") == UNPLACED).alias("unplaced"), F.sum(F.when(F.col("what") == OPEN, F.col("slots")).otherwise(0)).alias("slots")).collect()
-            meeting = meetings(spark, counts) if counts else None
-            if meeting:
-                found = met(found, *meeting, limit)
+        for opening in (False, True):
+            found = swept(docs, gaps, least, rows + n_gaps, limit, opening)
+            left = 0
+            if not opening:
+                counts = found.where("range is not null").groupBy("range").agg(
+                    F.count_if(unplaced).alias("unplaced"), F.sum(F.when(F.col("what") == OPEN, F.col("slots")).otherwise(0)).alias("slots")).collect()
+                meeting = Meeting(counts)
+                if meeting.found:
+                    found = met(found, meeting, rows + n_gaps, limit)
+                left = sum(r["unplaced"] for r in counts) - sum(meeting.taken.values())
             placed.append(found.where(F.col("what") == PLACED).select("number", "sequence", "offset"))
-            gaps = gaps.where(F.col("size") <= least).union(
-                found.where(F.col("what").isin(OPEN, GAP) & (F.col("size") > 0)).select("sequence", "size"))
-            docs = found.where(F.col("what") == UNPLACED).select("number", "size")
-            left = found.agg(
-                F.count_if(F.col("what") == UNPLACED).alias("n"), F.min(F.when(F.col("what") == UNPLACED, F.col("size"))).alias("least"),
-                F.count_if(F.col("what").isin(OPEN, GAP)).alias("gaps"), F.max(F.when(F.col("what").isin(OPEN, GAP), F.col("size"))).alias("widest")).first()
-            rows, n_gaps = left["n"], left["gaps"]
-            if not rows or (left["widest"] or 0) < left["least"]:
+            docs, gaps = found.where(unplaced).select("number", "size"), found.where(is_gap & (F.col("size") > 0)).select("sequence", "size")
+            rows, n_gaps = left, n_gaps + left
+            if not left:
                 break
-        if rows:
-            found = swept(docs, None, rows, limit, True)
-            placed.append(found.where(F.col("what") == PLACED).select("number", "sequence", "offset"))
-            gaps = gaps.union(found.where(F.col("what") == GAP).select("sequence", "size"))
-            n_gaps += rows
     out = placed[0]
     for more in placed[1:]:
         out = out.union(more)

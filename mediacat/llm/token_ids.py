@@ -20,7 +20,6 @@ import pyarrow.compute as pc
 from .words import NOT_SPACE, split_words, text_bytes
 
 ENCODED_AT_ONCE = 4_096
-SEGMENT = 16 << 20
 
 # Letters that are one character in every normal form, punctuation no alternative below joins
 # with a letter, and the pattern of pre-tokenisers that cut between the two.
@@ -132,7 +131,7 @@ class Encoder:
         last = words.texts[1:] + np.arange(len(texts))
         return gathered(flat, sizes, codes), np.concatenate([[0], np.cumsum(sizes[codes])[last]]).astype(np.int64)
 
-    def of_text(self, text: pa.Array, end: list[int], segment: int = SEGMENT) -> np.ndarray:
+    def of_text(self, text: pa.Array, end: list[int], segment: int) -> np.ndarray:
         """Numbers of one very long text, from segments that end in white space."""
         data, _ = text_bytes(text)
         if not self.by_word or len(data) <= segment:

@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from mediacat.llm import packing, token_ids
+from mediacat.llm import packing
 from mediacat.llm.tables import written
 
 WORDS, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
@@ -58,7 +58,7 @@ CASES = {
 @pytest.mark.parametrize("case", CASES)
 def test_as_few_sequences_as_best_fit(spark, monkeypatch, case):
     """Many small ranges: at most one sequence in a hundred more than one document at a time gives."""
-    monkeypatch.setattr(packing, "RANGE_ROWS", 200)
+    monkeypatch.setattr(packing, "RANGE_ROWS", 400)
     sizes = CASES[case](random.Random(3))
     pieces = pieces_of(spark, sizes)
     placed = pieces.join(packing.place(pieces), "number").collect()
@@ -79,8 +79,7 @@ def plain(docs, path, limit):
 @pytest.mark.parametrize("path", [WORDS, BYTES])
 def test_pieces_equal_the_library(spark, monkeypatch, path):
     """Nulls, empty and very long texts, special strings, odd spaces and letters, repeated rows, clashing column names."""
-    monkeypatch.setattr(token_ids, "SEGMENT", 5_000)
-    monkeypatch.setattr(packing, "SEGMENT", 5_000)
+    monkeypatch.setattr(packing, "SLICE_BYTES", 5_000)
     chance = random.Random(5)
     alphabet = ["Straße.", "été,", "don't", "I'm", "a1b2", "…", "İstanbul", "é́x", "日本語", "🙂🙂.", "<|endoftext|>", "x<|startoftext|>y", " z",
                 "ÄÖÜ!?", "ÿ;", "w.w.w", "hello", "world."]
