@@ -59,7 +59,9 @@ def record(kind: str, page: int, digest: str, length: int, url: str | None, payl
     head = [f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{page}:{digest}:{segment}>", f"WARC-Date: {DATE}",
             f"WARC-Payload-Digest: sha1:{digest}", f"Page-ID: {page}"]
     if url is not None:
-        head.append("WARC-Target-URI: " + "".join(f"%{ord(c):02X}" if c in "\r\n" else c for c in url))
+        safe = "".join(f"%{ord(c):02X}" if c in "\r\n" else c for c in url)
+        # With the line end after it, a version in the address would begin a record.
+        head.append("WARC-Target-URI: " + safe.replace(VERSION[:-2], f"%{ord(VERSION[0]):02X}{VERSION[1:-2]}"))
     if refers_to is not None:
         head += [f"WARC-Refers-To: <urn:page:{refers_to}:{digest}:1>", f"WARC-Profile: {PROFILE}"]
     if segments > 1:
@@ -164,10 +166,12 @@ def digests(chunks: DataFrame) -> DataFrame:
                     if not done:
                         closed(False)
                     sha, length, key, expected, first, done = hashlib.sha1(), 0, (page, digest), 1, (page, kind, digest, refers_to), False
-                good = segment == expected
-                part = body[i].as_buffer()
-                sha.update(part)
-                length, expected = length + part.size, segment + 1 if good else -1
+                part = body[i].as_buffer()  # null where a record was cut off
+                good = segment == expected and part is not None
+                if part is not None:
+                    sha.update(part)
+                    length += part.size
+                expected = segment + 1 if good else -1
                 if last:
                     closed(expected > 0)
                     done = True

@@ -20,7 +20,7 @@ def sha(text):
 
 PAGES = [(1, "http://a/", "<p>é</p>", 0), (2, None, None, 0), (3, "x\r\ny", "", 0), (4, "http://b/", "<p>é</p>", 0), (5, "u", "long " * 50, 0),
          (6, "u", f"a{MARK}{MARK}b WARC/1.1\r", 0), (7, "u", "\r\n\r\n", 0), (8, "u", "long " * 50, 0), (-9, "u", "<p>é</p>", 0), (8, "u", "long " * 50, 0),
-         (None, "u", "x", 0)]
+         (11, "http://a/WARC/1.1", "address", 0), (12, "WARC/1.1WARC/1.1\r\n", "address", 0), (None, "u", "x", 0)]
 
 
 @pytest.mark.parametrize("chunk", [7, 64 << 10])
