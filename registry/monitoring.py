@@ -4,6 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from mediacat.operators.key_filter import anti_join
 from mediacat.plans import monitoring as M
 from mediacat.session import shared_folder
 from mediacat.sinks.subtitles import current_status, with_processing_times
@@ -108,6 +109,14 @@ def backlog_counts(spark, sf_dir):
     return M.backlog_counts(available(t), t.videos)
 
 
+@query("""select author, permlink, video_type from available where (author,permlink) not in (select (author,permlink) from videos)""")
+def open_videos_filtered(spark, sf_dir):
+    """Available videos without subtitles; those whose key is certainly not among the processed ones are not shuffled."""
+    t = Inputs(spark, sf_dir)
+    processed = t.state.select("author", "permlink").distinct()
+    return anti_join(available(t).select("author", "permlink", "video_type"), processed, ["author", "permlink"])
+
+
 @query("""select video_type, count(*) pending from available where (author,permlink) not in (select (author,permlink) from videos) group by all""")
 def backlog_exact(spark, sf_dir):
     t = Inputs(spark, sf_dir)
