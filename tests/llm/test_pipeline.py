@@ -1,8 +1,11 @@
+import random
+
 import brute
+import pytest
 
 import __spark_entry__
 import corpus_pipeline
-from mediacat.llm import queries
+from mediacat.llm import minhash, queries
 from registry.check import difference, duck, duck_rows, spark_rows
 
 SF = "/root/testdata/sf0.001"
@@ -65,6 +68,39 @@ def test_near_dedup_links_by_five_words_at_four_fifths(spark):
     assert kept == sorted([10 * s for s in range(1, 9)] + [10 * s + k for s in range(11, 19) for k in (0, 1)])
 
 
+def template(seed, common, own, name="c"):
+    return " ".join([f"{name}{i}" for i in range(common)] + [f"o{seed}_{i}" for i in range(own)])
+
+
+def test_pages_of_a_template_are_not_all_paired(spark, monkeypatch):
+    """120 texts of similarity 0.71 meet in MinHash keys, but no pair of them goes through the prefix join; similar ones do."""
+    held = []
+    verify = minhash.verified
+    monkeypatch.setattr(minhash, "verified", lambda pairs, *rest: held.append(pairs.count()) or verify(pairs, *rest))
+    rows = [(i, template(i, 250, 50)) for i in range(120)] + [(1000 + i, template(i, 250, 10, "d")) for i in range(5)]
+    found = minhash.components(spark.createDataFrame(rows, "row long, text string").repartition(3)).collect()
+    sets = [(r, brute.five_words(t)) for r, t in rows]
+    assert {r.row: r.component for r in found} == dict(zip([r for r, _ in rows], brute.components(sets, linked=brute.alike)))
+    assert held[-1] <= 20 and sum(held) < 24 * 2 * 130
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_equal_all_pairs(spark, seed):
+    """Edited copies on both sides of the threshold, sizes on both sides of it, short and empty texts, repeats and nulls."""
+    chance, rows = random.Random(seed), [(1, ""), (2, None), (3, " \n"), (4, "a b"), (5, "A b"), (6, "a b c d e"), (7, "a b c d e f")]
+    for family in range(25):
+        base = [f"w{chance.randrange(40)}" for _ in range(chance.choice([8, 30, 120, 300]))]
+        for _ in range(chance.randrange(1, 7)):
+            words = list(base)
+            for _ in range(chance.choice([0, 1, 2, 3, 5])):
+                words[chance.randrange(len(words))] = chance.choice(["x", "y", f"w{chance.randrange(40)}"])
+            rows.append((len(rows) + 100 * family, " ".join(words + ["more"] * chance.choice([0, 0, len(words) // 5]))))
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    found = minhash.components(spark.createDataFrame(rows, "row long, text string").repartition(4)).collect()
+    sets = [(i, brute.five_words(t)) for i, t in rows]
+    assert {r.row: r.component for r in found} == dict(enumerate(brute.components(sets, linked=brute.alike)))
+
+
 def test_near_dedup_keeps_one_row_of_each_group(spark):
     """Rows without an id stay if they are no copy; repeated rows are copies of each other."""
     rows = [(None, edited(1, 100, 0), "a"), (None, edited(2, 100, 0), "a"), (7, edited(2, 100, 0), "a"),
