@@ -13,9 +13,8 @@ not applied and goes to ``late`` beside the store.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import timedelta
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,9 +43,9 @@ def _old(moment: Column, seen, lateness: timedelta | None) -> Column:
     return F.coalesce(moment < F.lit((seen - lateness).isoformat(sep=" ")).cast("timestamp_ntz"), F.lit(False))
 
 
-def _without_undone(rows: DataFrame, cuts: DataFrame, at: Column) -> DataFrame:
+def _without_undone(rows: DataFrame, cuts: DataFrame, at: Column, keys: Sequence[str] = KEY) -> DataFrame:
     """Rows after the newest cut of their key; ``cuts`` has one row for each key with ``_cut``."""
-    return rows.join(cuts, KEY, "left").where(F.col("_cut").isNull() | (at > F.col("_cut"))).drop("_cut")
+    return rows.join(cuts, list(keys), "left").where(F.col("_cut").isNull() | (at > F.col("_cut"))).drop("_cut")
 
 
 def _promised(batch: DataFrame, is_cut: Column, moment: Column, seen, lateness, base: str, batch_id: int) -> DataFrame:
@@ -137,14 +136,14 @@ class LiveState:
         self.store = PartStore(spark, base, STATE_EVENTS, self._thin)
 
     @staticmethod
-    def _cuts(rows: DataFrame) -> DataFrame:
+    def _cuts(rows: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
         gone = rows.where(F.col("kind") == GONE)
-        return gone.groupBy(*KEY).agg(F.max(F.struct("created_at", "created_seq")).alias("_cut"))
+        return gone.groupBy(*keys).agg(F.max(F.struct("created_at", "created_seq")).alias("_cut"))
 
     @staticmethod
-    def _saves(rows: DataFrame, cuts: DataFrame) -> DataFrame:
+    def _saves(rows: DataFrame, cuts: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
         """Saves that no deletion has undone. A record saved again after one is a new record."""
-        return _without_undone(rows.where(F.col("kind") == SAVE), cuts, F.struct("created_at", "created_seq"))
+        return _without_undone(rows.where(F.col("kind") == SAVE), cuts, F.struct("created_at", "created_seq"), keys)
 
     def _thin(self, rows: DataFrame, live: DataFrame, now: Manifest) -> DataFrame:
         saves = self._saves(rows, self._cuts(live))
@@ -156,29 +155,33 @@ class LiveState:
         return (folded.unionByName(apart).unionByName(gone, allowMissingColumns=True)
                 .unionByName(rest, allowMissingColumns=True))
 
-    def _measures(self, rows: DataFrame) -> DataFrame:
-        """(measure, n) over all rows: a measure is a name and a type or language."""
-        saves = self._saves(rows, self._cuts(rows))
-        first = saves.groupBy(*KEY).agg(F.min_by("video_type", F.struct("created_at", "created_seq")).alias("of"))
-        offers = rows.where(F.col("kind") == OFFER).select(*KEY, F.col("video_type").alias("of")).distinct()
-        found = [
-            ("processed", first),
-            ("language", saves.select(*KEY, F.col("language").alias("of")).distinct()),
-            ("subtitles", saves.select(*KEY, "language").distinct().join(first, KEY)),
-            ("tagged", rows.where(F.col("kind") == TAG).select(*KEY, F.lit("").alias("of")).distinct()),
-            ("available", offers),
-            ("open", offers.join(first.select(*KEY), KEY, "left_anti")),
-        ]
-        named = [f.select(F.concat_ws(SEPARATOR, F.lit(name), "of").alias("measure")) for name, f in found]
-        return reduce(DataFrame.unionByName, named).groupBy("measure").agg(F.count("*").alias("n"))
-
     def _change(self, before: DataFrame, new: DataFrame) -> dict[str, int]:
-        """What the keys of a batch count for after it, less what they counted for before."""
-        touched = new.select(*KEY).distinct()
-        known = before.join(touched, KEY, "left_semi")
-        after = self._measures(known.unionByName(new)).withColumn("sign", F.lit(1))
-        gone = self._measures(known).withColumn("sign", F.lit(-1))
-        change = after.unionByName(gone).groupBy("measure").agg(F.sum(F.col("n") * F.col("sign")).alias("n")).where("n <> 0")
+        """What the keys of a batch count for after it, less what they counted for before.
+
+        Both sides are counted together: a known row stands on both, a new one on the later.
+        A measure is a name and a type or language.
+        """
+        keys = [*KEY, "side"]
+        known = before.join(new.select(*KEY).distinct(), KEY, "left_semi").withColumn("side", F.explode(F.array(F.lit(-1), F.lit(1))))
+        rows = known.unionByName(new.withColumn("side", F.lit(1)))
+        saves = self._saves(rows, self._cuts(rows, keys), keys)
+        # One row for each video, with its languages (as many as are configured) and the catalogs that offer it.
+        first = saves.groupBy(*keys).agg(
+            F.coalesce(F.min_by("video_type", F.struct("created_at", "created_seq")), F.lit(LEGACY)).alias("of"),
+            F.collect_set("language").alias("languages"))
+        offers = rows.where(F.col("kind") == OFFER).groupBy(*keys).agg(F.collect_set("video_type").alias("offered"))
+        tagged = rows.where(F.col("kind") == TAG).select(*keys).distinct()
+        one = lambda name, of, n: F.struct(F.lit(name).alias("name"), of.alias("of"), n.cast("long").alias("n"))
+        made = F.when(F.col("of").isNotNull(), F.concat(
+            F.array(one("processed", F.col("of"), F.lit(1)), one("subtitles", F.col("of"), F.size("languages"))),
+            F.transform("languages", lambda code: one("language", code, F.lit(1)))))
+        offered = F.when(F.col("offered").isNotNull(), F.concat(
+            F.transform("offered", lambda kind: one("available", kind, F.lit(1))),
+            F.transform("offered", lambda kind: one("open", kind, F.col("of").isNull()))))
+        both = first.join(offers, keys, "full").select("side", F.array(made, offered).alias("_m"))
+        counted = both.select("side", F.explode(F.flatten(F.filter("_m", lambda m: m.isNotNull()))).alias("_m")).select("side", "_m.*")
+        counted = counted.unionByName(tagged.select("side", F.lit("tagged").alias("name"), F.lit("").alias("of"), F.lit(1).cast("long").alias("n")))
+        change = counted.groupBy(F.concat_ws(SEPARATOR, "name", "of").alias("measure")).agg(F.sum(F.col("n") * F.col("side")).alias("n")).where("n <> 0")
         return {r["measure"]: r["n"] for r in change.collect()}  # a row for each type and language
 
     def add(self, batch: DataFrame, batch_id: int) -> None:

@@ -178,12 +178,12 @@ def stored_pages(spark, sf_dir):
 
 
 @query(f"""select author, permlink, "position" from (select *, row_number() over (order by updated_at desc, author, permlink) "position" from videos)
-  where "position" between 101 and 200""")
+  where "position" between 21 and 120""")
 def page_by_key(spark, sf_dir):
-    """The hundred videos that follow the last one of a first page, found by its key."""
+    """The hundred videos that follow the last one of a first page of 20, found by its key."""
     t = Inputs(spark, sf_dir)
     table = M.store_finished(t.videos, f"{shared_folder(spark)}/finished-{uuid.uuid4().hex}")
-    last = table.between(100, 100).first()
+    last = table.between(20, 20).first()
     return table.after((last["updated_at"], last["author"], last["permlink"]), 100).select("author", "permlink", "position")
 
 
