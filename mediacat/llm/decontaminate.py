@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .rows import appended
 from .tables import stored
-from .words import ALPHANUMERIC, split_words
+from .words import ALPHANUMERIC, release, split_words, text_slices
 
 SIZE = 10
 BLOCK_CHARS = 8 << 20
@@ -246,12 +246,41 @@ def clean(found: DataFrame, text: str = "text", max_span: int = MAX_SPAN, max_co
     columns, at, spans_at = rest.columns, rest.columns.index(text), rest.columns.index("spans")
 
     def run(batches):
-        for batch in batches:
-            spans = [[(s["first"], s["last"]) for s in x] for x in batch.column(spans_at).to_pylist()]
-            if any(spans):
-                held = batch.column(at)
-                cut = [without_spans(held.slice(i, 1), [s])[0] if s else held[i].as_py() for i, s in enumerate(spans)]
-                batch = batch.set_column(at, text, pa.array(cut, pa.string()))
-            yield pa.RecordBatch.from_arrays(batch.columns, columns)
+        for whole in batches:
+            for batch in text_slices(whole, text):
+                spans = [[(s["first"], s["last"]) for s in x] for x in batch.column(spans_at).to_pylist()]
+                if any(spans):
+                    held = batch.column(at)
+                    cut = [without_spans(held.slice(i, 1), [s])[0] if s else held[i].as_py() for i, s in enumerate(spans)]
+                    batch = batch.set_column(at, text, pa.array(cut, pa.string()))
+                yield pa.RecordBatch.from_arrays(batch.columns, columns)
+            release()
 
     return rest.mapInArrow(run, rest.schema)
+
+
+def cleaned(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = SIZE,
+            max_span: int = MAX_SPAN, max_coverage: float = MAX_COVERAGE, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """``clean`` of ``find_items`` with the columns of ``docs``; one pass, and one worker a task, where the items are one block."""
+    listed = items.select(F.col(item_id).cast("string").alias("name"), F.col(item_text).alias("text")).where("name is not null and text is not null")
+    if (listed.agg(F.sum(F.length("text"))).first()[0] or 0) > block_chars:
+        return clean(find_items(docs, items, text, item_id, item_text, None, size, block_chars), text, max_span, max_coverage).select(*docs.columns)
+    rows = listed.collect()  # block_chars at most
+    held = docs.sparkSession.sparkContext.broadcast(([r.name for r in rows], [r.text for r in rows]))
+    columns, at = docs.columns, docs.columns.index(text)
+
+    def run(batches):
+        machine = automaton(held, size)
+        for whole in batches:
+            for batch in text_slices(whole, text):
+                n, spans, _ = find(machine, batch.column(at))
+                lengths = [[last - first + 1 for first, last in s] for s in spans]
+                good = [max(x, default=0) < max_span and sum(x) <= max_coverage * k for x, k in zip(lengths, n.tolist())]
+                if any(spans):
+                    texts = batch.column(at)
+                    cut = [without_spans(texts.slice(i, 1), [s])[0] if s and ok else texts[i].as_py() for i, (s, ok) in enumerate(zip(spans, good))]
+                    batch = batch.set_column(at, text, pa.array(cut, pa.string()))
+                yield pa.RecordBatch.from_arrays([c.filter(pa.array(good, pa.bool_())) for c in batch.columns], columns)
+            release()
+
+    return docs.mapInArrow(run, docs.schema)

@@ -6,6 +6,7 @@ belong to words. Bytes over 0x7F always do, so a character is never cut.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -26,6 +27,14 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def release() -> None:
+    """Give memory that a batch has left free back to the system: workers live on through many tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that no slice has more than ``limit`` bytes of text, or else one row."""
     if not batch.num_rows:
