@@ -110,7 +110,7 @@ def backlog_counts(spark, sf_dir):
 
 
 @query("""select author, permlink, video_type from available where (author,permlink) not in (select (author,permlink) from videos)""")
-def open_videos_filtered(spark, sf_dir):
+def filtered_open_videos(spark, sf_dir):
     """Available videos without subtitles; those whose key is certainly not among the processed ones are not shuffled."""
     t = Inputs(spark, sf_dir)
     processed = t.state.select("author", "permlink").distinct()
