@@ -72,3 +72,19 @@ def test_position_over_the_whole_table(spark):
     assert [(r.k, r.i) for r in placed.orderBy("p").collect()] == want
     assert sorted(r.p for r in placed.collect()) == list(range(1, len(made) + 1))
     assert O.position(df.where("false"), [F.col("i")], "p").count() == 0
+
+
+def test_a_list_is_not_copied_to_salts_that_no_row_has(spark, capsys):
+    df = spark.createDataFrame([("hot", i) for i in range(300)] + [("k1", 1), ("k2", 2), (None, 3), ("k1", 1)], "k string, i bigint")
+    listed = spark.createDataFrame([("hot", 1), ("k2", 2), ("none", 3), (None, 4)], "k string, fact int")
+    made = {how: O.join_list(df, listed if how == "left" else listed.select("k"), "k", ["i"], how, salts=64)
+            for how in ("left", "left_anti", "left_semi")}
+    want = [(r.k, r.i) for r in df.collect()]
+    facts = {"hot": 1, "k2": 2}
+    by_text = lambda rows: sorted(rows, key=str)
+    assert by_text((r.k, r.i, r.fact) for r in made["left"].collect()) == by_text((k, i, facts.get(k)) for k, i in want)
+    assert by_text(map(tuple, made["left_anti"].collect())) == by_text(x for x in want if x[0] not in facts)
+    assert by_text(map(tuple, made["left_semi"].collect())) == by_text(x for x in want if x[0] in facts)
+    for rows in made.values():
+        rows.explain()
+        assert "explode" not in capsys.readouterr().out  # 64 copies of each listed key before
