@@ -184,3 +184,41 @@ def test_all_training_documents_are_learned_from(spark):
 def test_scored_tokens_see_a_quarter_of_a_window():
     for own, at, real in lm.windows(np.array([0, 500]), 100):
         assert real[1:, :8].sum() == 0 and real[1:-1, 8:].all()
+
+
+def test_scores_are_finite_whatever_the_weights():
+    vocabulary, weights = lm.Vocabulary(np.ones(60)), lm.first_weights(np.zeros(lm.CLASSES, np.float32))
+    for name in ("q", "k", "out"):
+        weights[name] = weights[name] * 300
+    ids, bounds = np.arange(3, 53, dtype=np.int32), np.array([0, 50])
+    assert np.isfinite(lm.text_scores(weights, vocabulary, ids, bounds)).all()
+    inputs, targets = np.arange(lm.WINDOW)[None], np.arange(lm.WINDOW)[None]
+    assert all(np.isfinite(g).all() for g in lm.gradient(weights, inputs, targets, np.ones((1, lm.WINDOW), bool)).values())
+
+
+def test_chances_of_the_next_piece_add_up_to_one():
+    begins = np.arange(200) % 3 == 0
+    vocabulary = lm.Vocabulary(np.arange(200, 0, -1).astype(float), begins)
+    weights = lm.first_weights(vocabulary.start)
+    ends, goes_on = 0.4, np.where(begins, 0, 1.0)
+    goes_on *= 0.6 / goes_on.sum()
+    for trust in (0.0, 0.7):
+        total = 0.0
+        for x in range(200):
+            ids, bounds = np.array([3, 4, x], np.int32), np.array([0, 3])
+            so = np.array([0.0, 0.0, ends if begins[x] else goes_on[x]])
+            spelling = (begins[ids], so, np.array([0.0, 0.0, trust]))
+            head = lm.text_scores(weights, vocabulary, ids[:2], np.array([0, 2]), tuple(s[:2] for s in spelling))
+            total += 10 ** (lm.text_scores(weights, vocabulary, ids, bounds, spelling) - head)[0]
+        assert math.isclose(total, 1, rel_tol=1e-3)
+
+
+def test_held_out_texts_score_like_the_base_or_better(spark):
+    chance = np.random.default_rng(11)
+    syllables = "ka to mi ru ze pol dan fes gri hun jat wel".split()
+    words = ["".join(chance.choice(syllables, chance.integers(2, 5))) for _ in range(400)]
+    odds = 1 / np.arange(1, 401)
+    rows = [(i, " ".join(chance.choice(words, 80, p=odds / odds.sum()))) for i in range(300)]
+    got = lm.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), PATH).where("held_out").collect()
+    assert len(got) > 30 and all(math.isfinite(r.score) for r in got)
+    assert sum(r.score for r in got) > 1.02 * sum(r.base_score for r in got)
