@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +24,7 @@ Score = Callable[[list[str], list[str]], Sequence[Sequence[float]]]
 # Texts in one call of the scorer.
 SCORING_BATCH = 64
 SCORES_TYPE = "array<struct<label: string, score: double>>"
+SCORES_ARROW = pa.list_(pa.struct([("label", pa.string()), ("score", pa.float64())]))
 
 
 def _blank(text: Column) -> Column:
@@ -88,26 +89,25 @@ def scored_by_hook(
 ) -> DataFrame:
     """Add ``scores`` from a user's scorer, ``batch`` texts at a time.
 
-    Rows without text get NULL, and so do texts the scorer fails on: a batch that fails is
-    tried text by text. Give only the key and the text; the rest is joined afterwards.
+    Only these texts are taken out of the rows at a time. Rows without text get NULL, and so do
+    texts the scorer fails on: a batch that fails is tried text by text. Give only the key and
+    the text; the rest is joined afterwards.
     """
     names = list(labels)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            has = frame[text].notna()
-            texts, found = list(frame.loc[has, text]), []
-            for at in range(0, len(texts), batch):
-                found += _checked(score, texts[at:at + batch], names)
-            column = pd.Series([None] * len(frame), index=frame.index, dtype=object)
-            column[has] = pd.Series(
-                [values and [{"label": n, "score": v} for n, v in zip(names, values)] for values in found],
-                index=frame.index[has], dtype=object,
-            )
-            yield frame.assign(scores=column)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for at in range(0, rows.num_rows, batch):
+                part = rows.slice(at, batch)
+                texts = part.column(text).to_pylist()
+                said = [t for t in texts if t is not None]
+                found = iter(_checked(score, said, names) if said else [])
+                scores = [None if t is None else next(found) for t in texts]
+                column = [values and [{"label": n, "score": v} for n, v in zip(names, values)] for values in scores]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(column, SCORES_ARROW)], [*part.schema.names, "scores"])
 
     schema = rows.schema.simpleString()[len("struct<"):-1]
-    return rows.mapInPandas(run, f"{schema}, scores:{SCORES_TYPE}")
+    return rows.mapInArrow(run, f"{schema}, scores:{SCORES_TYPE}")
 
 
 def score_map(scores: str | Column) -> Column:

@@ -55,3 +55,14 @@ def test_score_rows(spark):
     rows = spark.createDataFrame([("k", "a", 0.1), ("k", "a", 0.4), ("k", "b", 0.2)], "key string, label string, score double")
     got = G.scores_from_rows(rows, ["key"]).select(G.score_map("scores").alias("m")).first().m
     assert got == {"a": 0.4, "b": 0.2}
+
+
+def test_the_scorer_holds_a_batch_of_texts_and_not_all_rows(spark):
+    rows = spark.range(0, 5000, 1, 1).selectExpr("repeat(cast(id as string), 10000) as tag_text")
+
+    def held(texts, labels):
+        with open("/proc/self/statm") as f:
+            return [[int(f.read().split()[1]) * 4096 / 1e6]] * len(texts)
+
+    megabytes = [r.scores[0].score for r in G.scored_by_hook(rows, held, ["x"]).select("scores").collect()]
+    assert len(megabytes) == 5000 and max(megabytes) < 350  # the texts are 190 MB
