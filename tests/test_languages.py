@@ -84,3 +84,16 @@ def test_pairing_rejects_count_mismatch_per_language(spark):
 def test_detected_language(spark):
     rows = spark.createDataFrame([("en",), ("fr",), ("xx",), (None,)], "lang string")
     assert [r.source_language for r in L.detected_language(rows, LANGS).collect()] == ["en", "fr", "en", "en"]
+
+
+def test_the_model_is_asked_from_slices_of_rows(spark):
+    rows = spark.range(0, 5000, 1, 1).selectExpr(
+        "repeat(cast(id as string), 10000) as text", "if(id % 50 = 0, null, 'en') as source_language", "if(id % 2 = 0, 'fr', 'de') as language")
+
+    def held(texts, source, target):
+        with open("/proc/self/statm") as f:
+            return [f"{int(f.read().split()[1]) * 4096 // 1000000} {target}"] * len(texts)
+
+    got = X.translate_distinct(rows, held, partitions=1).selectExpr("left(text, 4) as t", "language", "translated", "error").collect()
+    assert len(got) == 4900 and all(r.error is None and r.translated.split()[1].startswith({"fr": "fra", "de": "deu"}[r.language]) for r in got)
+    assert max(int(r.translated.split()[0]) for r in got) < 350  # the texts are 190 MB
