@@ -8,6 +8,8 @@ large group of copies gives no pairs of all with all. The nodes of the keys that
 but not enough) go through a prefix join: of the shingles of a node, rarest first, so many are keys that two
 similar nodes must share one. That is exact, and nodes that share only their template share no key.
 
+Pairs that another method has met (``met``) are verified before the first round, so what they link is closed for the rounds.
+
 Only the texts of nodes in some pair are shuffled: the others are kept back by a Bloom filter of bounded size.
 
 Defined cases: texts without words are copies of each other; one with fewer than five words is one shingle. Null
@@ -143,14 +145,29 @@ def prefix_pairs(nodes: DataFrame, rows: DataFrame, size: int, similarity: float
     return met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
 
 
-def components(rows: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """(row, component) for each of ``rows``, (row long, text string); component is the smallest row in reach."""
+def between_nodes(met: DataFrame, marked: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of nodes that may be similar, from pairs (row, other) of rows."""
+    known = marked.select("row", "high", "low").join(nodes, ["high", "low"]).select("row", "node", "n")
+    sides = met.join(known, "row").select("other", F.col("node").alias("x"), F.col("n").alias("m")).join(known.withColumnRenamed("row", "other"), "other")
+    return sides.where((F.col("x") != F.col("node")) & possible(F.col("n"), F.col("m"), similarity)).select(
+        F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+
+
+def components(rows: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY, met: DataFrame | None = None) -> DataFrame:
+    """(row, component) for each of ``rows``, (row long, text string); component is the smallest row in reach.
+
+    ``met`` are pairs (row, other) to verify first; the result does not depend on them.
+    """
     marked = stored(sketches(rows, size))
     nodes = stored(marked.groupBy("high", "low").agg(F.min("row").alias("node"), F.min("n").alias("n")))
     each = marked.join(nodes.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "n", F.explode("keys").alias("key"))
     shared = each.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     open_keys = stored(each.join(shared, "key"))
     edges = tried = found = None
+    if met is not None:
+        tried = stored(between_nodes(met, marked, nodes, similarity))
+        edges = stored(verified(tried, rows, size, similarity))
+        found = connected(edges, "a", "b")
     for turn in range(STARS + 1):
         now = open_keys.withColumn("component", F.col("node"))
         if found is not None:

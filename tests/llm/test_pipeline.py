@@ -76,6 +76,22 @@ def test_near_dedup_links_by_five_words_at_four_fifths(spark):
     assert kept == sorted([10 * s for s in range(1, 9)] + [10 * s + k for s in range(11, 19) for k in (0, 1)])
 
 
+def test_near_dedup_verifies_what_simhash_finds(spark, monkeypatch):
+    """One changed word in 2,000 leaves the fingerprint near: op1's operator meets the pair, before any MinHash key does.
+    Texts without words are one node and no pair; a met pair that is not similar links nothing."""
+    first = []
+    verify = minhash.verified
+    monkeypatch.setattr(minhash, "verified", lambda pairs, *rest: first.append(pairs.count()) or verify(pairs, *rest))
+    rows = [(10 * s + k, edited(s, 2000, k), "a") for s in range(1, 5) for k in (0, 1)] + [(90, "", "a"), (91, None, "a"), (92, edited(9, 300, 0), "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, SF).collect())
+    assert kept == [10, 20, 30, 40, 90, 92]
+    assert first[0] == 4 and sum(first[1:]) == 0
+    texts = spark.createDataFrame([(1, "a b c d e f"), (2, "u v w x y z"), (3, "a b c d e f")], "row long, text string")
+    met = spark.createDataFrame([(2, 1), (3, 1), (3, 2)], "row long, other long")
+    assert sorted(map(tuple, minhash.components(texts, met=met).collect())) == [(1, 1), (2, 2), (3, 1)]
+
+
 def template(seed, common, own, name="c"):
     return " ".join([f"{name}{i}" for i in range(common)] + [f"o{seed}_{i}" for i in range(own)])
 
