@@ -88,3 +88,15 @@ def test_a_list_is_not_copied_to_salts_that_no_row_has(spark, capsys):
     for rows in made.values():
         rows.explain()
         assert "explode" not in capsys.readouterr().out  # 64 copies of each listed key before
+
+
+def test_a_list_that_looks_small_is_not_broadcast(spark, capsys):
+    """The size of a list is estimated; one that is scanned and filtered can be far larger than its estimate."""
+    df = spark.range(2000).selectExpr("concat('k', id % 50) k", "id i")
+    listed = spark.range(100).where("id % 9 = 1").selectExpr("concat('k', id) k", "true listed")
+    for how in ("left", "left_anti"):
+        made = O.join_list(df, listed if how == "left" else listed.select("k"), "k", ["i"], how, salts=8)
+        n = made.where("listed").count() if how == "left" else 2000 - made.count()
+        assert n == 6 * 40
+        made.explain()
+        assert "Broadcast" not in capsys.readouterr().out
