@@ -102,6 +102,28 @@ def test_others_between_two_holders_do_not_part_them(spark, tasks):
     assert len({r.class_id for r in found}) == 6
 
 
+def family(p, n, size):
+    """A passage that ``n`` documents hold, each but the first with one word of its own in it."""
+    shared, rows = words(900 + p, size), []
+    for d in range(n):
+        held = list(shared)
+        if d:
+            held[random.Random(50_000 + 100 * p + d).randrange(5, size - 5)] = f"own{d}"
+        rows.append((100 * p + d, " ".join(words(20_000 + 200 * p + 2 * d, 60) + held + words(20_001 + 200 * p + 2 * d, 60))))
+    return rows
+
+
+def test_holders_with_own_edits_are_one_class(spark):
+    """A window met only the longest of its contexts and its neighbour: 95 of these 120 were in their class then."""
+    rows = [r for p in range(10) for r in family(p, 12, 55)]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(60)).collect()
+    held = {}
+    for r in found:
+        held.setdefault(r.class_id, set()).add(r.doc_id)
+    assert all(len({d // 100 for d in docs}) == 1 for docs in held.values())
+    assert sum(max(len(docs) for docs in held.values() if p in {d // 100 for d in docs}) for p in range(10)) >= 118
+
+
 def test_links_count_the_holders_of_a_class(spark):
     rows = [(100 * p + i, " ".join(words(100 * p + i + 5000, 60) + words(400 + p, 60) + words(100 * p + i + 7000, 60)))
             for p in range(3) for i in range(10 + p)]
