@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
 from ..functions.timecode import timecode_to_millis, timecode_to_seconds, to_millis, to_timecode
-from .ordered import gather_blocks, next_value, number_rows
+from ..session import shared_folder
+from .ordered import gather_blocks, next_value
 from .transcript import segment_block
 
 DOCUMENT = ["author", "permlink", "language"]
@@ -61,13 +64,22 @@ def render_parts(
     cues: DataFrame, keys: Sequence[str] = DOCUMENT, order: Sequence[str] = ("seg_idx",),
     block: Column | None = None,
 ) -> DataFrame:
-    """The SRT text in ordered pieces (``part``, ``srt``), each of one block of cues."""
+    """The SRT text in ordered pieces (``part``, ``srt``), each of one block of cues.
+
+    The blocks are kept in the shared folder, so the cues are made and gathered once: their
+    numbers follow from one small row for each block.
+    """
+    spark, keys = cues.sparkSession, list(keys)
     at = segment_block() if block is None else block
-    numbered = number_rows(cues, keys, list(order), at, "cue_no").withColumn("part", at)
-    text = F.concat(F.col("cue_no").cast("string"), F.lit("\n"), cue_body())
-    return gather_blocks(numbered, keys, ["cue_no"], F.col("part"), text).select(
-        *keys, F.col("_block").alias("part"), F.array_join("items", "").alias("srt")
-    )
+    path = f"{shared_folder(spark)}/blocks-{uuid.uuid4().hex}"
+    gather_blocks(cues, keys, list(order), at, cue_body()).write.parquet(path)
+    blocks = spark.read.parquet(path)
+    earlier = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    before = blocks.select(*keys, "_block", F.size("items").alias("_n")).select(
+        *keys, "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    numbered = F.transform("items", lambda body, i: F.concat((F.col("_before") + i + 1).cast("string"), F.lit("\n"), body))
+    return blocks.join(before, [*keys, "_block"]).select(
+        *keys, F.col("_block").alias("part"), F.array_join(numbered, "").alias("srt"))
 
 
 def _pieces(srt: Column) -> Column:
