@@ -148,10 +148,11 @@ def prioritised_work(
     """
     drain(requests.select(*KEY, "requested_at"), f"{base}/checkpoint", "append", _keep(f"{base}/requests"))
     kept = _kept(requests.sparkSession, f"{base}/requests")
+    # The size of the stored requests is that of packed files, far below that of their rows: they are not broadcast.
     asked = kept.groupBy(*KEY).agg(F.min("requested_at").alias("requested_at"))
-    known = catalogs.select(*KEY).join(asked.select(*KEY), KEY, "left_semi").distinct()
-    ahead = asked.join(known, KEY).withColumn("bucket", F.lit(0))
-    behind = work_rank(candidates, creators).join(asked.select(*KEY), KEY, "left_anti").withColumn("bucket", F.lit(1))
+    known = catalogs.select(*KEY).join(asked.select(*KEY).hint("merge"), KEY, "left_semi").distinct()
+    ahead = asked.join(known.hint("merge"), KEY).withColumn("bucket", F.lit(0))
+    behind = work_rank(candidates, creators).join(asked.select(*KEY).hint("merge"), KEY, "left_anti").withColumn("bucket", F.lit(1))
     rows = ahead.unionByName(behind, allowMissingColumns=True)
     order = [F.col("bucket"), F.asc_nulls_last("requested_at"), *work_order_columns()]
     return position(rows, order, "position").select(

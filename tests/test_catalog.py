@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from mediacat import schemas
 from mediacat.operators import selection as S
+from mediacat.plans.full_pass import flagged
 from mediacat.sources import catalog as C
 from mediacat.sources import tables
 
@@ -161,3 +162,17 @@ def test_config(spark):
     assert [x.code for x in read.languages] == ["en", "fr"] and read.languages[1].max_duration == 5
     assert config.tags_table(spark, read).count() == 2
     assert tuple(config.gateways_table(spark, read).first()) == (0, "https://g/")
+
+
+def test_a_list_of_items_is_not_broadcast(spark, capsys):
+    videos = C.all_videos(*catalogs(spark), NOW)
+    authors = spark.createDataFrame([("u2",)], "author string")
+    items = spark.createDataFrame([("u1", "old"), ("u1", "old"), (None, "x")], "author string, permlink string")
+    left = S.without_blacklisted(videos, authors, items)
+    assert keys(left) == {k for k in keys(videos) if k[0] != "u2" and k[:2] != ("u1", "old")}
+    left.explain()
+    assert "Broadcast" not in capsys.readouterr().out
+    marked = flagged(videos, authors, items)
+    assert marked.count() == videos.count() and keys(marked.where("not is_blacklisted")) == keys(left)
+    marked.explain()
+    assert "Broadcast" not in capsys.readouterr().out

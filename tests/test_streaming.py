@@ -120,3 +120,17 @@ def test_requested_items_go_ahead_over_all_batches(spark, folder, at):
     assert sorted((r.bucket, r.permlink) for r in rows) == [(0, "a"), (0, "b"), (1, "c")]
     assert [r.permlink for r in sorted(rows, key=lambda r: r.position)] == ["b", "a", "c"]
     assert [r.position for r in sorted(rows, key=lambda r: r.position)] == [1, 2, 3]
+
+
+def test_the_requests_of_a_work_list_are_not_broadcast(spark, folder, at, capsys, monkeypatch):
+    """Stored requests are measured by their packed files; their rows can be ten times as large."""
+    requests = spark.range(50).selectExpr("concat('u', id) author", "concat('p', id) permlink", "timestamp_ntz'2024-01-01' requested_at")
+    put(requests, folder, "a")
+    videos = spark.range(80).selectExpr(
+        "concat('u', id) author", "concat('p', id) permlink", "'embed' video_type", "'published' status", "timestamp_ntz'2024-01-01' created_at")
+    stream = jobs.read_stream(spark, f"{folder}/in/*", requests.schema)
+    monkeypatch.setattr(jobs, "position", lambda rows, order, name: rows.withColumn(name, F.lit(1)))
+    work = jobs.prioritised_work(stream, videos, videos, videos.select("author").where("author < 'u3'"), f"{folder}/w")
+    assert work.count() == 80
+    work.explain()
+    assert "Broadcast" not in capsys.readouterr().out
