@@ -34,6 +34,8 @@ from .words import text_bytes
 MARK = "▁"
 # A piece that is not in the model costs this much more than the rarest one (fixed value of the library).
 UNKNOWN_COST = 10.0
+# Lengths of the pieces that any three characters may end.
+SHORT = (2, 1)
 # Bytes of text that share a trie: the larger, the fewer words are encoded again.
 SLICE = 12 << 20
 
@@ -51,6 +53,8 @@ class Model:
     longest: int = 0
     apart: dict[tuple[str, str], bool] = field(default_factory=dict)
     whole: dict[str, bool] = field(default_factory=dict)
+    # Lengths of the pieces of three characters or more by the last three of them, longest first.
+    endings: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
     def merged(self, text: str) -> list[str]:
         """Pieces of a text by merging: the pair of best score first, the leftmost of equals."""
@@ -125,7 +129,12 @@ def model(kind, scores, numbers, bytes_at, unknown, surfaces) -> Model:
     for piece in scores:
         if MARK in piece.lstrip(MARK) or piece.startswith(MARK * 2) and piece.strip(MARK):
             raise ValueError(f"piece {piece!r} goes beyond a word")
-    return Model(kind, scores, numbers, bytes_at, unknown, surfaces, max(map(len, scores), default=1))
+    sizes: dict[str, set[int]] = {}
+    for piece in scores:
+        if len(piece) > 2:
+            sizes.setdefault(piece[-3:], set()).add(len(piece))
+    endings = {end: (*sorted(some, reverse=True), 2, 1) for end, some in sizes.items()}
+    return Model(kind, scores, numbers, bytes_at, unknown, surfaces, max(map(len, scores), default=1), endings=endings)
 
 
 def forward(model: Model, words: list[str]) -> list[list[str]]:
@@ -160,11 +169,14 @@ def forward(model: Model, words: list[str]) -> list[list[str]]:
 
 
 def last_merged(model: Model, word: str, end: int, last: list[str]) -> str:
-    for size in range(min(model.longest, end), 0, -1):
+    scores, whole, apart = model.scores, model.whole, model.apart
+    for size in model.endings.get(word[end - 3 : end], SHORT) if end > 2 else SHORT:
+        if size > end:
+            continue
         piece = word[end - size : end]
-        if piece in model.scores and model.made(piece):
+        if piece in scores and (whole.get(piece) or model.made(piece)):
             left = last[end - size]
-            if not left or left not in model.scores or model.stays(left, piece):
+            if not left or apart.get((left, piece)) or left not in scores or model.stays(left, piece):
                 return piece
     return word[end - 1]  # in no piece: its bytes
 

@@ -222,3 +222,26 @@ def test_held_out_texts_score_like_the_base_or_better(spark):
     got = lm.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), PATH).where("held_out").collect()
     assert len(got) > 30 and all(math.isfinite(r.score) for r in got)
     assert sum(r.score for r in got) > 1.02 * sum(r.base_score for r in got)
+
+
+def test_only_lengths_of_pieces_with_the_same_end_are_tried():
+    """Each length that is tried costs a look; one long piece must not make all characters dear."""
+
+    class Counted(dict):
+        looks = 0
+
+        def __contains__(self, key):
+            Counted.looks += 1
+            return super().__contains__(key)
+
+    made = ["ab", "abc", "abca", "bc", "ca", "caa", "aa", "▁a", "▁ab", "cc" * 8, "cc" * 4, "cc" * 2, "cc"]
+    scores = {c: -100.0 for c in "abc▁"} | {piece: -float(i) for i, piece in enumerate(made)}
+    held = pieces.model("bpe", Counted(scores), {p: i for i, p in enumerate(scores)}, [], 99, [p.encode() for p in scores])
+    words = sorted({"▁" + "".join(w) for n in range(1, 7) for w in itertools.product("abcd", repeat=n)})
+    found = pieces.forward(held, words[::7])
+    assert found == [held.merged(w) for w in words[::7]]
+    Counted.looks, long = 0, "▁" + "abad" * 50
+    assert pieces.forward(held, [long]) == [held.merged(long)]
+    looks, Counted.looks = Counted.looks, 0
+    held.merged(long)
+    assert looks - Counted.looks < 4 * len(long)
