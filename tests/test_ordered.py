@@ -100,3 +100,14 @@ def test_a_list_that_looks_small_is_not_broadcast(spark, capsys):
         assert n == 6 * 40
         made.explain()
         assert "Broadcast" not in capsys.readouterr().out
+
+
+def test_rows_that_look_small_are_not_broadcast_to_their_facts(spark, capsys):
+    """Rows that are exploded out of a few long ones have the estimate of those."""
+    df = spark.range(40).selectExpr("concat('k', id % 4) k", "explode(sequence(0, 99)) i")
+    facts = spark.range(3).selectExpr("concat('k', id) k", "id fact")
+    for how, some in (("inner", facts), ("left_semi", facts.select("k"))):
+        made = O.join_facts(df, some, ["k"], O.block_of("i", 16), how)
+        assert made.count() == 3 * 1000
+        made.explain()
+        assert "Broadcast" not in capsys.readouterr().out
