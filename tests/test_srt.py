@@ -78,6 +78,22 @@ def test_a_second_pass_keeps_the_files_of_the_first(spark, folder):
     assert (index.path, index.folder) == ("007/0012.en.srt", "author=007/permlink=0012/language=en")
 
 
+def test_a_new_folder_is_not_replaced_document_by_document(spark, folder, monkeypatch):
+    """A dynamic overwrite renames the folder of each document in the driver."""
+    asked, option = [], files.DataFrameWriter.option
+    monkeypatch.setattr(files.DataFrameWriter, "option", lambda w, key, value: asked.append(key) or option(w, key, value))
+    rows = [("u", "a", "en", "a\n\n"), ("u", "b", None, "b"), (None, "c", "es", "c\n")]
+    docs = spark.createDataFrame(rows, "author string, permlink string, language string, srt string")
+    files.write_srt(docs, f"{folder}/new")
+    assert "partitionOverwriteMode" not in asked
+    files.write_srt(docs.where("permlink = 'a'").withColumn("srt", srt.F.lit("d\n")), f"{folder}/new")
+    assert "partitionOverwriteMode" in asked
+    assert {(r.author, r.permlink, r.language): r.srt for r in read_srt(spark, f"{folder}/new").collect()} == {
+        ("u", "a", "en"): "d\n", ("u", "b", None): "b\n", (None, "c", "es"): "c\n"}
+    files.write_parts(docs.withColumn("part", srt.F.lit(3)), f"{folder}/parts")
+    assert len(glob.glob(f"{folder}/parts/author=u/permlink=a/language=en/part=3/*.txt")) == 1
+
+
 def test_line_ends_marks_and_junk(spark):
     cues = "1\n00:00:00,000 --> 00:00:01,000\nx\n\n2\n00:00:01,000 --> 00:00:02,000\ny\n\n"
     rows = [("u", "crlf", "en", cues.replace("\n", "\r\n")), ("u", "mark", "en", "\ufeff" + cues), ("u", "blank", "en", "\n\n" + cues), ("u", "junk", "en", "note\n\n" + cues)]
