@@ -88,6 +88,23 @@ def test_flat_words_give_the_same_cues(spark, monkeypatch):
     ]
 
 
+def test_flat_words_are_shuffled_once(spark, monkeypatch, capsys):
+    """Words without a key are in no cue; a cue that runs over blocks is one; no word is moved alone."""
+    monkeypatch.setattr(T, "block_of", lambda column: block_of(column, 4))
+    texts = [" a.", *[f" w{i}" for i in range(20)], " b!", " c"]
+    rows = [("u", key, 0, i, t, float(i), i + 1.0) for key in ("v", None) for i, t in enumerate(texts)] + [("u", "s", 1, 7, " x", 7.0, 8.0), ("u", "s", 1, 8, " y", 8.0, 9.0)]
+    flat = spark.createDataFrame(rows, "author string, permlink string, raw_seg bigint, word_idx int, word string, start_s double, end_s double")
+    cues = T.split_words(flat)
+    got = sorted((r.permlink, r.first_word, r.start_s, r.end_s, r.text) for r in cues.collect())
+    parts = [(1, texts[:1]), (2, texts[1:9]), (10, texts[9:17]), (18, texts[17:22]), (23, texts[22:])]
+    want = [("v", n, n - 1.0, n - 1.0 + len(p), "".join(p).strip()) for n, p in parts]
+    assert got == [("s", 1, 7.0, 9.0, "x y"), *want]
+    cues.explain()
+    final = capsys.readouterr().out.split("== Initial Plan ==")[0].splitlines()
+    moved = [line for line in final if "Exchange hashpartitioning(author" in line and "ReusedExchange" not in line]
+    assert len([line for line in moved if "_block#" in line and "first_word#" not in line]) == 1
+
+
 def test_long_cue_spacing_is_kept_and_no_word_is_lost(spark):
     made = sequences(100, 3)
     cues = T.split_segments(raw(spark, made)).groupBy("permlink", "raw_seg").agg(
