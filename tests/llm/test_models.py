@@ -2,11 +2,13 @@ import itertools
 import math
 import zlib
 from collections import Counter
+from urllib.parse import urlparse
 
 import brute
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -224,6 +226,35 @@ def test_held_out_texts_score_like_the_base_or_better(spark):
     assert sum(r.score for r in got) > 1.02 * sum(r.base_score for r in got)
 
 
+def test_every_beginning_of_a_word_is_counted(spark, monkeypatch):
+    """Rare ones too, also where the words that begin alike lie in several chunks and tasks."""
+    monkeypatch.setattr(lm, "CHUNK", 3)
+    chance = np.random.default_rng(5)
+    words = ["".join(chance.choice(list("abcxyz"), chance.integers(1, 9))) for _ in range(300)] + ["q" * 70, "\x01", "日本語", "Ñandú"]
+    counts = {w: int(chance.integers(0, 4)) for w in words}
+    library, want = sentencepiece.SentencePieceProcessor(model_file=PATH), Counter()
+    for w, n in counts.items():
+        ids = tuple(library.encode(w))
+        want.update({ids[: k + 1]: n for k in range(min(len(ids), lm.DEPTH))})
+        if len(ids) <= lm.DEPTH:
+            want[ids, "end"] += n
+    rows = spark.createDataFrame([(w.encode(), n) for w, n in counts.items()], "word binary, n long").repartition(5)
+    cut = lm.cut_words(rows, PATH)
+    assert {r.piece: r.n for r in lm.piece_counts(cut, library.vocab_size()).collect()} == Counter(
+        {p: n for p, n in sum((Counter({p: n * c for p, c in Counter(library.encode(w)).items()}) for w, n in counts.items()), Counter()).items() if n})
+    monkeypatch.setattr(lm, "SPELLED", 8, raising=False)  # once the most that was kept
+    found, edges = lm.spelled(cut)
+    found = found.collect()
+    assert Counter(bytes(r.word) for r in found) == Counter(w.encode() for w in counts)
+    for r in found:
+        ids = library.encode(bytes(r.word).decode())
+        listed = pa.array([ids], pa.list_(pa.int32()))
+        keys = lm.prefix_keys(listed.values.to_numpy(), np.asarray(listed.offsets))
+        own = np.frombuffer(r.times, np.int64)
+        assert lm.times(edges, keys, own[:-1]).tolist() == [want[tuple(ids[: k + 1])] if k < lm.DEPTH else 0 for k in range(len(ids))]
+        assert lm.times(edges, lm.end_keys(keys[-1:]), own[-1:]).tolist() == [want[tuple(ids), "end"]]
+
+
 def test_only_lengths_of_pieces_with_the_same_end_are_tried():
     """Each length that is tried costs a look; one long piece must not make all characters dear."""
 
