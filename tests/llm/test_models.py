@@ -255,6 +255,19 @@ def test_every_beginning_of_a_word_is_counted(spark, monkeypatch):
         assert lm.times(edges, lm.end_keys(keys[-1:]), own[-1:]).tolist() == [want[tuple(ids), "end"]]
 
 
+def test_a_block_is_read_alone_and_written_alone(spark):
+    """Long rows: neither a writer nor a reader of their file may hold a hundred of them."""
+    rows = spark.range(0, 40, 1, 1).selectExpr("id as block", "to_binary(repeat(sha2(cast(id as string), 512), 30000), 'utf-8') as codes")
+    found = [pq.ParquetFile(urlparse(f).path).metadata for f in lm.written(rows, **lm.FILES).inputFiles()]
+    assert sum(f.num_rows for f in found) == 40
+    assert max(f.row_group(i).num_rows for f in found for i in range(f.num_row_groups)) < 20
+    schema = pa.schema([("block", pa.int64()), ("at", pa.int64())])
+    batches = [pa.RecordBatch.from_arrays([pa.array(b, pa.int64()), pa.array(a, pa.int64())], schema=schema)
+               for b, a in (([1, 1, 2], [-1, 0, -1]), ([], []), ([2, 2], [0, 1]), ([3], [-1]))]
+    assert [t.to_pydict() for t in lm.by_block(batches)] == [
+        {"block": [1, 1], "at": [-1, 0]}, {"block": [2, 2, 2], "at": [-1, 0, 1]}, {"block": [3], "at": [-1]}]
+
+
 def test_only_lengths_of_pieces_with_the_same_end_are_tried():
     """Each length that is tried costs a look; one long piece must not make all characters dear."""
 
