@@ -243,21 +243,22 @@ def test_every_beginning_of_a_word_is_counted(spark, monkeypatch):
     assert {r.piece: r.n for r in lm.piece_counts(cut, library.vocab_size()).collect()} == Counter(
         {p: n for p, n in sum((Counter({p: n * c for p, c in Counter(library.encode(w)).items()}) for w, n in counts.items()), Counter()).items() if n})
     monkeypatch.setattr(lm, "SPELLED", 8, raising=False)  # once the most that was kept
-    found, edges = lm.spelled(cut)
+    found, edges = lm.spelled(cut, library.vocab_size(), sum(counts.values()))
     found = found.collect()
     assert Counter(bytes(r.word) for r in found) == Counter(w.encode() for w in counts)
     for r in found:
         ids = library.encode(bytes(r.word).decode())
         listed = pa.array([ids], pa.list_(pa.int32()))
         keys = lm.prefix_keys(listed.values.to_numpy(), np.asarray(listed.offsets))
-        own = np.frombuffer(r.times, np.int64)
+        own = np.frombuffer(r.times, np.int32).astype(np.int64)
         assert lm.times(edges, keys, own[:-1]).tolist() == [want[tuple(ids[: k + 1])] if k < lm.DEPTH else 0 for k in range(len(ids))]
         assert lm.times(edges, lm.end_keys(keys[-1:]), own[-1:]).tolist() == [want[tuple(ids), "end"]]
 
 
 def test_a_block_is_read_alone_and_written_alone(spark):
     """Long rows: neither a writer nor a reader of their file may hold a hundred of them."""
-    rows = spark.range(0, 40, 1, 1).selectExpr("id as block", "to_binary(repeat(sha2(cast(id as string), 512), 30000), 'utf-8') as codes")
+    rows = spark.range(0, 40, 1, 1).selectExpr("id as block",
+                                               "to_binary(array_join(transform(sequence(1, 30000), x -> sha2(cast(id * 100000 + x as string), 256)), ''), 'utf-8') as codes")
     found = [pq.ParquetFile(urlparse(f).path).metadata for f in lm.written(rows, **lm.FILES).inputFiles()]
     assert sum(f.num_rows for f in found) == 40
     assert max(f.row_group(i).num_rows for f in found for i in range(f.num_row_groups)) < 20
