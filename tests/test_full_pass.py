@@ -1,10 +1,13 @@
 """A whole pass over a handful of items, one of each kind."""
 
 import hashlib
+import re
 
 from pyspark.sql import functions as F
 
-from mediacat.plans import full_pass
+from mediacat.operators import srt, transcript
+from mediacat.operators.ordered import block_of
+from mediacat.plans import full_pass, work_pass
 from mediacat.sinks.srt_store import SrtStore
 from mediacat.sources.tables import Language
 
@@ -69,3 +72,40 @@ def test_one_of_each_kind(spark, folder, at):
     assert "spa_Latn: plain SAYS the word 0 again." in texts["plain", "es"] and texts["plain", "en"].startswith("1\n00:00:00,000 --> 00:00:03,000\nplain SAYS")
     assert documents["old", "en"].video_type == "legacy" and documents["old", "en"].video_cid == "Qm" and documents["plain", "es"].path == "u/plain.es.srt"
     assert {r.permlink: r.video_duration_seconds for r in made.processing.collect()} == {"plain": 6, "asked": 6, "fails": 6, "part": 15, "old": 6}
+
+
+def moved(rows, capsys):
+    """The columns that each shuffle of a plan moves."""
+    rows.explain("formatted")
+    return [set(re.findall(r"(\w+)#\d+", x)) for x in re.findall(r"\) Exchange\nInput \[\d+\]: (.*)", capsys.readouterr().out)]
+
+
+def test_cues_move_and_not_the_timed_words_they_are_cut_from(spark, capsys):
+    words = [{"word": w, "start_s": float(i), "end_s": i + 1.0} for i, w in enumerate([" one", " two.", " three", " four", " five."])]
+    rows = [(v, "p", s, "".join(w["word"] for w in words), 0.0, 5.0, words) for v in ("u", "v", None) for s in range(600)]
+    segments = spark.createDataFrame(rows, speech(spark).schema)
+    videos = spark.createDataFrame([("u", "p"), ("w", "p"), (None, "p")], "author string, permlink string")
+    cues = transcript.spoken_cues(segments, videos, [("two", "TWO")], 3)
+    moves = moved(cues, capsys)
+    assert moves and not any("words" in m or "_word" in m for m in moves)
+    got = sorted((r.author, r.raw_seg, r.cue_in_seg, r.start_s, r.end_s, r.text) for r in cues.collect())
+    assert got == [("u", s, *c) for s in range(600) for c in ((0, 0.0, 2.0, "one TWO."), (1, 2.0, 5.0, "three four five."))]
+
+
+def test_rejected_documents_are_left_out_without_moving_their_cues_again(spark, capsys):
+    videos = spark.createDataFrame([("u", p, "en") for p in ("plain", "fails")], "author string, permlink string, source_language string")
+    state = spark.createDataFrame([], "author string, permlink string, language string")
+
+    def translate(texts, source, target):
+        if any("fails" in t for t in texts) and "spa" in target:
+            raise ValueError("no")
+        return texts
+
+    made = work_pass.run_pass(videos, speech(spark), state, LANGS, [], translate)
+    assert not any("start_s" in m for m in moved(made.documents, capsys))  # what is gathered moves as one value
+    found = {(r.permlink, r.language): r.cue_count for r in made.documents.collect()}
+    assert found == {("plain", c.code): 2 for c in LANGS} | {("fails", "en"): 2, ("fails", "fr"): 2}
+    assert [(r.permlink, r.language) for r in made.rejects.collect()] == [("fails", "es")]
+    cues = spark.createDataFrame([(d, s, 1.0, 2.0, "x") for d in ("a", "b") for s in range(3)], "doc string, seg_idx long, start_s double, end_s double, text string")
+    parts = srt.render_parts(cues, ["doc"], block=block_of("seg_idx", 2), without=spark.createDataFrame([("a",), ("c",)], "doc string"))
+    assert sorted((r.doc, r.part, r.srt[0]) for r in parts.collect()) == [("b", 0, "1"), ("b", 1, "3")]
